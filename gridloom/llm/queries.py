@@ -19,8 +19,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), cycle_weights((5, 2, 1)), share=1.5, cap=2.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, its edited text and its successor."""
+    from .fingerprint import edited_pairs
+
+    return edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": op1_mixing}
+    return {f.__name__: f for f in (op1_mixing, op7_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
