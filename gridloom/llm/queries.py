@@ -19,6 +19,27 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), cycle_weights((5, 2, 1)), share=1.5, cap=2.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents on 2-word shingles at 0.8."""
+    from .minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+OP2_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.r AS component_id, d.doc_id = m.r AS kept
+FROM documents d JOIN (SELECT d, min(r) AS r FROM reach GROUP BY d) m ON m.d = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, its edited text and its successor."""
     from .fingerprint import edited_pairs
@@ -27,8 +48,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op7_fingerprints)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op7_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_near_duplicates": OP2_SQL}
