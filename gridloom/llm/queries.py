@@ -40,6 +40,38 @@ FROM documents d JOIN (SELECT d, min(r) AS r FROM reach GROUP BY d) m ON m.d = d
 """
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1, formatted and read back."""
+    from .chat import format_chats, read_back
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    return read_back(format_chats(rows.unionByName(extra)))
+
+
+OP3_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(role) + length(text) + 20
+    + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '\', '')))
+    + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '<s>', ''))) // 3
+    + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '</s>', ''))) // 4
+    + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '[INST]', ''))) // 6
+    + (length(role || chr(0) || text) - length(replace(role || chr(0) || text, '[/INST]', ''))) // 7 AS chars
+  FROM c
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, its edited text and its successor."""
     from .fingerprint import edited_pairs
@@ -48,8 +80,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op7_fingerprints)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op7_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op3_chat": OP3_SQL}
