@@ -79,9 +79,31 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20-word windows that start earlier elsewhere, removed from all documents."""
+    from .substring import removal_report
+
+    return removal_report(table(spark, sf_dir, "documents"), k=20)
+
+
+OP9_SQL = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS t FROM w WHERE len(w) >= 20),
+dup AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS i FROM dup),
+kept AS (
+  SELECT x.doc_id, string_agg(x.t, ' ' ORDER BY x.i) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM w) x LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.i = x.i
+  WHERE g.i IS NULL GROUP BY x.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op7_fingerprints)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op7_fingerprints, op9_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL, "op3_chat": OP3_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op3_chat": OP3_SQL, "op9_repeats": OP9_SQL}
