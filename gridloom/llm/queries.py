@@ -72,6 +72,13 @@ FROM e GROUP BY conv_id
 """
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens."""
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, its edited text and its successor."""
     from .fingerprint import edited_pairs
@@ -102,7 +109,7 @@ FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op7_fingerprints, op9_repeats)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op5_packing, op7_fingerprints, op9_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
