@@ -93,6 +93,13 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(table(spark, sf_dir, "documents"), k=20)
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every 50th vector among all others."""
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 OP9_SQL = """
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS t FROM w WHERE len(w) >= 20),
@@ -109,7 +116,7 @@ FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op5_packing, op7_fingerprints, op9_repeats)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op5_packing, op7_fingerprints, op9_repeats, op10_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
