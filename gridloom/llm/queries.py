@@ -72,6 +72,16 @@ FROM e GROUP BY conv_id
 """
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a machine trained on labels outside the held-out fold."""
+    from .toxicity import fold_of, score_texts, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"), use=fold_of("doc_id", 5) != 0)
+    scored = score_texts(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens."""
     from .packing import pack_documents
@@ -116,7 +126,7 @@ FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op5_packing, op7_fingerprints, op9_repeats, op10_neighbours)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op4_toxicity, op5_packing, op7_fingerprints, op9_repeats, op10_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -121,3 +121,42 @@ def slice_words(column: pa.Array, lower: bool, limit: int = SLICE_BYTES) -> Iter
     for lo, hi in slices(offsets, limit):
         a, b = offsets[lo], offsets[hi]
         yield lo, hi, Words(data[a:b], offsets[lo : hi + 1] - a, lower)
+
+
+class Known:
+    """A table from 64-bit hashes to numbers, probed for whole arrays at once. Hash 0 counts as 1."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.key = np.zeros(1 << bits, dtype=np.uint64)
+        self.value = np.zeros(1 << bits, dtype=np.int32)
+        self.n = 0
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the hashes; -1 for those unknown."""
+        h = np.maximum(h, np.uint64(1))
+        out = np.full(len(h), -1, dtype=np.int64)
+        todo, slot = np.arange(len(h)), self._slot(h)
+        while len(todo):
+            k = self.key[slot]
+            hit = k == h[todo]
+            out[todo[hit]] = self.value[slot[hit]]
+            go = ~hit & (k != 0)
+            todo, slot = todo[go], (slot[go] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, h: np.ndarray, value: np.ndarray) -> None:
+        """Put in distinct hashes that are not there; the caller keeps the table at most half full."""
+        h = np.maximum(h, np.uint64(1))
+        todo, slot = np.arange(len(h)), self._slot(h)
+        self.n += len(h)
+        while len(todo):
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.key[slot[first]] == 0]
+            self.key[slot[first]] = h[todo[first]]
+            self.value[slot[first]] = value[todo[first]]
+            left = self.key[slot] != h[todo]
+            todo, slot = todo[left], (slot[left] + 1) & ((1 << self.bits) - 1)

@@ -29,7 +29,7 @@ _OTHER[[*range(0x1C, 0x20), *range(0xC0, 0xC3), *range(0xC4, 0x100)]] = True
 
 #: Distinct pieces that a worker keeps; the table starts anew beyond.
 KEPT = 1_500_000
-_SLOTS = 1 << 22
+_BITS = 22
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -84,25 +84,11 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.key = np.zeros(_SLOTS, dtype=np.uint64)
-        self.index = np.zeros(_SLOTS, dtype=np.int32)
+        self.known = tk.Known(_BITS)
         self.n = 0
         self.first = np.zeros(KEPT + 1, dtype=np.int64)
         self.ids = np.zeros(1 << 20, dtype=np.uint16)
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        """Numbers of known pieces; -1: unknown. Open addressing, probed for all at once."""
-        out = np.full(len(h), -1, dtype=np.int64)
-        slot = (h >> np.uint64(42)).astype(np.int64)
-        todo = np.arange(len(h))
-        while len(todo):
-            k = self.key[slot]
-            hit = k == h[todo]
-            out[todo[hit]] = self.index[slot[hit]]
-            go = ~hit & (k != 0)
-            todo, slot = todo[go], (slot[go] + 1) & (_SLOTS - 1)
-        return out
-
     def _learn(self, h: np.ndarray, pieces: list[bytes]) -> None:
         """Encode new pieces. Those of a blank and a text are encoded in one go, since each begins anew there."""
         joined = [i for i, p in enumerate(pieces) if len(p) > 1 and p[0] == 0x20 and p[1] not in b" \t\n\r\x0b\x0c"]
@@ -123,14 +109,7 @@ class Encoder:
         self.ids[used : used + len(flat)] = flat
         self.first[base + 1 : base + len(got) + 1] = used + np.cumsum([len(g) for g in got])
         self.n += len(got)
-        todo, slot = np.arange(len(h)), (h >> np.uint64(42)).astype(np.int64)
-        while len(todo):
-            free, first = np.unique(slot, return_index=True)
-            first = first[self.key[free] == 0]
-            self.key[slot[first]] = h[todo[first]]
-            self.index[slot[first]] = base + todo[first]
-            left = self.key[slot] != h[todo]
-            todo, slot = todo[left], (slot[left] + 1) & (_SLOTS - 1)
+        self.known.add(h, base + np.arange(len(h)))
 
     def _latin(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts in a row, and their numbers by text."""
@@ -142,8 +121,8 @@ class Encoder:
         power, inverse = tk._powers(tk._BASE, n + 1)
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(tk._BYTE[data] * power[:n], out=total[1:])
-        h = tk.mix64((total[end] - total[start]) * inverse[start] ^ (end - start).astype(np.uint64)) | np.uint64(1)
-        found = self._find(h)
+        h = tk.mix64((total[end] - total[start]) * inverse[start] ^ (end - start).astype(np.uint64))
+        found = self.known.find(h)
         new = np.flatnonzero(found < 0)
         if len(new):
             keys, first = np.unique(h[new], return_index=True)
@@ -154,7 +133,7 @@ class Encoder:
             at = new[first]
             raw = data.tobytes()
             self._learn(keys, [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
-            found[new] = self._find(h[new])
+            found[new] = self.known.find(h[new])
         first = self.first[found]
         count = self.first[found + 1] - first
         ends = np.cumsum(count)
