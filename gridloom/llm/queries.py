@@ -96,6 +96,14 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op8_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those outside fold 2 of 7."""
+    from .ctw import score
+    from .toxicity import fold_of
+
+    return score(table(spark, sf_dir, "documents"), fold_of("doc_id", 7) != 2)
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20-word windows that start earlier elsewhere, removed from all documents."""
     from .substring import removal_report
@@ -126,7 +134,7 @@ FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op4_toxicity, op5_packing, op7_fingerprints, op9_repeats, op10_neighbours)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op4_toxicity, op5_packing, op7_fingerprints, op8_scoring, op9_repeats, op10_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
