@@ -89,6 +89,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    from .pii import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, its edited text and its successor."""
     from .fingerprint import edited_pairs
@@ -134,7 +141,7 @@ FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op4_toxicity, op5_packing, op7_fingerprints, op8_scoring, op9_repeats, op10_neighbours)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_chat, op4_toxicity, op5_packing, op6_pii, op7_fingerprints, op8_scoring, op9_repeats, op10_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
