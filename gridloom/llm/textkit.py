@@ -40,15 +40,15 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and its inverse modulo 2**64, for i below n."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << int(n - 1).bit_length())
+        size = -(-n // (1 << 18)) << 18
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             out = np.empty(size, dtype=np.uint64)
             out[0], done = 1, 1
             while done < size:
-                step = np.uint64(pow(b, done, 1 << 64))
-                out[done : 2 * done] = out[:done] * step
-                done *= 2
+                more = min(done, size - done)
+                np.multiply(out[:more], np.uint64(pow(b, done, 1 << 64)), out=out[done : done + more])
+                done += more
             both.append(out)
         have = _POWERS[base] = (both[0], both[1])
     return have

@@ -260,10 +260,12 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, words in tk.slice_words(b.column(0), lower=False):
             units = Units(words)
             spelled = "".join(alphabet[units.letters].tolist())
+            order = np.argsort(units.row, kind="stable")
+            cut = np.searchsorted(units.row[order], np.arange(hi - lo + 1))
+            a, b_ = units.a.tolist(), units.b.tolist()
             for i in range(hi - lo):
-                x, z = np.searchsorted(units.row, [i, i + 1]) if (np.diff(units.row) >= 0).all() else (0, 0)
-                at = range(x, z) if z > x else np.flatnonzero(units.row == i)
-                stems = {spelled[units.a[j] : units.a[j] + n] for j in at for n in _STEMS if units.b[j] - units.a[j] >= n}
+                mine = {spelled[a[j] : b_[j]] for j in order[cut[i] : cut[i + 1]].tolist()}
+                stems = {w[:n] for w in mine for n in _STEMS if len(w) >= n}
                 count[1 if y[lo + i] else 0].update(stems)
         if sum(map(len, count)) > 500_000:
             yield _counted(count)
