@@ -1,6 +1,597 @@
-"""Registry of the engine's queries and of the SQL that checks them."""
+"""Registry of the engine's queries and of the SQL that checks them.
+
+Every query runs over its whole tables. Doubles that come from sums are rounded to six places in both engines;
+thresholds are compared before rounding.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import crs, scalar
+from ..operators import coco, coverage, labels, mosaic, pairing, regions, sonogram, spatial, tensors, windows
+from ..sources import views as v
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+WS, STRIDE, SHARE = 12, 6, 0.8
+LABEL_WS, LABEL_STRIDE, LABEL_SHARE = 12, 6, 0.05
+TILE = (4, 4)
+COLOURS = ("#3366CC", "#DC3912", "#FF9900", "#109618", "#990099", "#0099C6", "#DD4477", "#66AA00", "#B82E2E", "#316395")
+
+
+def query(sql: str | None = None) -> Callable:
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = v.sql(sql)
+        return f
+
+    return add
+
+
+def _six(name: str) -> Column:
+    return F.round(name, 6).alias(name)
+
+
+# Tiling
+
+_COVER = f"""
+ k AS (SELECT raster_id, unnest(range(greatest(0, ceil((r - {WS - 1}) / {STRIDE}.0))::BIGINT, floor(r / {STRIDE}.0)::BIGINT + 1)) * {STRIDE} AS wr, c, v FROM {{src}}),
+ m AS (SELECT raster_id, wr, unnest(range(greatest(0, ceil((c - {WS - 1}) / {STRIDE}.0))::BIGINT, floor(c / {STRIDE}.0)::BIGINT + 1)) * {STRIDE} AS wc, v FROM k),
+ s AS (SELECT raster_id, wr, wc, count(*)::BIGINT AS total_pix, count(*) FILTER (WHERE v <> 0)::BIGINT AS nonzero FROM m GROUP BY ALL)"""
+
+
+@query(f"WITH {_COVER.format(src='v_pixels')} SELECT raster_id, wr, wc, total_pix, nonzero, round(nonzero / total_pix, 6) AS nonzero_prop FROM s WHERE nonzero * 100 >= total_pix * {SHARE * 100}")
+def tile_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows whose data share is at least 0.8."""
+    out = coverage.tile_coverage(v.pixels(spark, sf_dir), WS, STRIDE, SHARE)
+    return out.withColumn("nonzero_prop", _six("nonzero_prop"))
+
+
+def _raster_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = v.pixels(spark, sf_dir).groupBy("raster_id").agg((F.max("r") + 1).alias("height"), (F.max("c") + 1).alias("width"))
+    return size.select("raster_id", F.lit(0.0).alias("x0"), F.col("height").cast("double").alias("y0"), F.lit(1.0).alias("res_x"), F.lit(1.0).alias("res_y"), "width", "height")
+
+
+def _grid_sql(more: int) -> str:
+    return f"""WITH d AS (SELECT raster_id, max(r) + 1 AS h, max(c) + 1 AS w FROM v_pixels GROUP BY raster_id),
+     x AS (SELECT raster_id, h, unnest(range(0, w + {more} + 1, 5)) AS col, h + {more} AS hh FROM d),
+     y AS (SELECT raster_id, h, col, len(range(0, hh + 1, 5)) AS ny, unnest(range(0, hh + 1, 5)) AS row FROM x)
+     SELECT raster_id, (col // 5 * ny + row // 5)::BIGINT AS win_id, col, row, col::DOUBLE AS x_min, (h - row - 4)::DOUBLE AS y_min, (col + 4)::DOUBLE AS x_max, (h - row)::DOUBLE AS y_max FROM y"""
+
+
+@query(_grid_sql(4))
+def window_grid_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 4.5 by stride 5 (4.5 rounds to 4), with those past the edge."""
+    return windows.raster_windows(_raster_meta(spark, sf_dir), 4.5, 5).drop("ws_x", "ws_y")
+
+
+@query(_grid_sql(0))
+def window_grid_raster_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.raster_windows(_raster_meta(spark, sf_dir), 4.5, 5, overshoot=False).drop("ws_x", "ws_y")
+
+
+def _extent_sql(cut: int) -> str:
+    return f"""WITH e AS (SELECT min(x_min) AS x0, min(y_min) AS y0, max(x_max) AS x1, max(y_max) AS y1 FROM v_tiles),
+     n AS (SELECT *, floor((x1 - x0 - {cut}) / 3)::BIGINT + 1 AS nx, floor((y1 - y0 - {cut}) / 3)::BIGINT + 1 AS ny FROM e),
+     i AS (SELECT *, unnest(range(0, nx)) AS ix FROM n), j AS (SELECT *, unnest(range(0, ny)) AS iy FROM i)
+     SELECT ix * ny + iy AS win_id, x0 + ix * 3 AS x_min, y0 + iy * 3 AS y_min, x0 + ix * 3 + 4 AS x_max, y0 + iy * 3 + 4 AS y_max FROM j"""
+
+
+@query(_extent_sql(0))
+def window_grid_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.extent_windows(v.tiles(spark, sf_dir), (4.0, 4.0), 3.0)
+
+
+@query(_extent_sql(4))
+def window_grid_full_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.extent_windows(v.tiles(spark, sf_dir), (4.0, 4.0), 3.0, full_only=True)
+
+
+@query(f"WITH p AS (SELECT raster_id, r, c, CASE v WHEN 55 THEN 0 WHEN 60 THEN 0 WHEN 0 THEN 7 ELSE v END AS v FROM v_pixels), {_COVER.format(src='p')} SELECT raster_id, wr, wc, total_pix, nonzero, round(nonzero / total_pix, 6) AS nonzero_prop FROM s WHERE nonzero * 100 >= total_pix * 95")
+def tile_reclassify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage after values were replaced."""
+    out = coverage.tile_coverage(coverage.reclassify(v.pixels(spark, sf_dir), {55: 0, 60: 0, 0: 7}), WS, STRIDE, 0.95)
+    return out.withColumn("nonzero_prop", _six("nonzero_prop"))
+
+
+@query(f"WITH {_COVER.format(src='v_pixels')} SELECT raster_id, wr, wc FROM s WHERE nonzero > 0")
+def tile_any_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.any_valid(v.pixels(spark, sf_dir), WS, STRIDE)
+
+
+@query(f"WITH {_COVER.format(src='v_pixels')} SELECT count(*) FILTER (WHERE nonzero * 100 >= total_pix * {SHARE * 100})::BIGINT AS accepted, count(*) FILTER (WHERE nonzero * 100 < total_pix * {SHARE * 100})::BIGINT AS rejected FROM s")
+def tile_accept_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = windows.window_sums(v.pixels(spark, sf_dir), WS, STRIDE, {"total_pix": F.lit(1), "nonzero": (F.col("v") != 0).cast("int")})
+    return coverage.accept_counts(s, F.col("nonzero") * 100 >= F.col("total_pix") * F.lit(SHARE * 100))
+
+
+@query("SELECT fid, concat_ws('_', 'out', trim(class_name), '12m', round_even(x_min + 0.5, 0)::BIGINT, round_even(y_min + 0.5, 0)::BIGINT, round_even(x_max + 0.25, 0)::BIGINT, round_even(y_max - 0.5, 0)::BIGINT) AS name FROM v_features")
+def tile_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = v.features(spark, sf_dir)
+    return f.select("fid", scalar.tile_name(F.lit("out"), F.trim("class_name"), F.lit(12), F.col("x_min") + 0.5, F.col("y_min") + 0.5, F.col("x_max") + 0.25, F.col("y_max") - 0.5).alias("name"))
+
+
+@query("SELECT raster_id, band, r, c, CASE WHEN v = 100 OR v IS NULL THEN 0 ELSE v END AS v FROM (SELECT raster_id, band, r, c, CASE WHEN band = 2 AND v % 15 = 0 THEN NULL ELSE v END AS v FROM v_pixels, (SELECT unnest([1, 2, 3]) AS band))")
+def tile_rgb_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three of four bands; nulls and the no-data value 100 become 0."""
+    p = v.pixels(spark, sf_dir).select("*", F.explode(F.array(*map(F.lit, (1, 2, 3, 4)))).alias("band")).where("band <= 3")
+    p = p.withColumn("v", F.when((F.col("band") == 2) & (F.col("v") % 15 == 0), F.lit(None)).otherwise(F.col("v")))
+    return p.select("raster_id", "band", "r", "c", coverage.fill(F.col("v"), F.lit(100)).alias("v"))
+
+
+# Footprint
+
+_CELLS = "cells AS (SELECT DISTINCT c // 4 AS cx, r // 4 AS cy FROM v_pixels WHERE r % 4 = 2 AND c % 4 = 2 AND v <> 0 AND v > 150)"
+_NEAR = "near AS (SELECT DISTINCT cx + dx AS cx, cy + dy AS cy FROM cells, (SELECT unnest(range(-1, 2)) AS dx), (SELECT unnest(range(-1, 2)) AS dy) WHERE dx * dx + dy * dy <= 1)"
+_LATTICE = "lat AS (SELECT (x * 1000000 + y)::BIGINT AS win_id, (x * 5)::DOUBLE AS x_min, (y * 5)::DOUBLE AS y_min, (x * 5 + 4)::DOUBLE AS x_max, (y * 5 + 4)::DOUBLE AS y_max FROM (SELECT unnest(range(0, 8)) AS x), (SELECT unnest(range(0, (SELECT max(r) // 5 + 1 FROM v_pixels))) AS y))"
+_TOUCH = "w.x_min <= (n.cx + 1) * 4 AND w.x_max >= n.cx * 4 AND w.y_min <= (n.cy + 1) * 4 AND w.y_max >= n.cy * 4"
+
+
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.footprint_cells(v.pixels(spark, sf_dir), 4, (F.col("v") != 0) & (F.col("v") > 150))
+
+
+def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y = v.pixels(spark, sf_dir).agg(F.expr("max(r) div 5").alias("n")).select(F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("y"))
+    w = y.select("y", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("x"))
+    d = lambda c: c.cast("double")
+    x, y_ = F.col("x") * 5, F.col("y") * 5
+    return w.select((F.col("x") * 1000000 + F.col("y")).alias("win_id"), d(x).alias("x_min"), d(y_).alias("y_min"), d(x + 4).alias("x_max"), d(y_ + 4).alias("y_max"))
+
+
+@query(f"WITH {_CELLS} SELECT cx, cy FROM cells")
+def footprint_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cells(spark, sf_dir)
+
+
+@query(f"WITH {_CELLS}, {_NEAR} SELECT cx, cy FROM near")
+def footprint_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.buffered(_cells(spark, sf_dir), 1)
+
+
+@query(f"WITH {_CELLS}, {_LATTICE} SELECT w.* FROM lat w WHERE EXISTS (SELECT 1 FROM cells n WHERE {_TOUCH})")
+def windows_in_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.in_footprint(_lattice(spark, sf_dir), _cells(spark, sf_dir), 4)
+
+
+@query(f"WITH {_CELLS}, {_NEAR}, {_LATTICE} SELECT DISTINCT w.* FROM lat w JOIN near n ON {_TOUCH}")
+def windows_sjoin_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.in_footprint(_lattice(spark, sf_dir), spatial.buffered(_cells(spark, sf_dir), 1), 4)
+
+
+# Labels
+
+_LW = f"win AS (SELECT (x * 1000 + y)::BIGINT AS win_id, (x * {LABEL_STRIDE})::DOUBLE AS x_min, (y * {LABEL_STRIDE})::DOUBLE AS y_min, (x * {LABEL_STRIDE} + {LABEL_WS})::DOUBLE AS x_max, (y * {LABEL_STRIDE} + {LABEL_WS})::DOUBLE AS y_max FROM (SELECT unnest(range(0, 19)) AS x), (SELECT unnest(range(0, 28)) AS y))"
+_CLIP = f"{_LW}, clip AS (SELECT win_id, fid, class_name, (least(w.x_max, f.x_max) - greatest(w.x_min, f.x_min)) * (least(w.y_max, f.y_max) - greatest(w.y_min, f.y_min)) AS area FROM win w JOIN v_features f ON w.x_min < f.x_max AND w.x_max > f.x_min AND w.y_min < f.y_max AND w.y_max > f.y_min)"
+_IDS = "CASE lower(trim(class_name)) " + " ".join(f"WHEN '{k}' THEN {i}" for k, i in v.FEATURE_IDS.items()) + " END"
+_AREAS = f"{_CLIP}, val AS (SELECT *, {_IDS} AS value FROM clip), areas AS (SELECT win_id, sum(area) AS total_area, coalesce(sum(area) FILTER (WHERE value > 0 AND lower(trim(class_name)) NOT IN ('mask', 'shadow')), 0) AS valid_area FROM val GROUP BY win_id)"
+
+
+def _label_windows(spark: SparkSession) -> DataFrame:
+    w = spark.range(19).withColumnRenamed("id", "x").select("x", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(27).cast("long"))).alias("y"))
+    x, y = F.col("x") * LABEL_STRIDE, F.col("y") * LABEL_STRIDE
+    return w.select((F.col("x") * 1000 + F.col("y")).alias("win_id"), x.cast("double").alias("x_min"), y.cast("double").alias("y_min"), (x + LABEL_WS).cast("double").alias("x_max"), (y + LABEL_WS).cast("double").alias("y_max"))
+
+
+def _clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.clip_areas(_label_windows(spark), v.features(spark, sf_dir), float(LABEL_WS))
+
+
+@query(f"WITH {_CLIP} SELECT win_id, count(*)::BIGINT AS parts, round(sum(area), 6) AS total_area FROM clip GROUP BY win_id")
+def label_clip_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clipped(spark, sf_dir).groupBy("win_id").agg(F.count("*").alias("parts"), F.round(F.sum("area"), 6).alias("total_area"))
+
+
+@query(f"SELECT fid, class_name, {_IDS} AS value FROM v_features")
+def class_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return v.features(spark, sf_dir).select("fid", "class_name", scalar.crosswalk(F.col("class_name"), v.FEATURE_IDS).alias("value"))
+
+
+@query(f"SELECT DISTINCT class_name, {_IDS} AS value FROM v_features WHERE {_IDS} > 0 AND lower(trim(class_name)) NOT IN ('mask', 'shadow')")
+def valid_class_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = v.features(spark, sf_dir).select("class_name", scalar.crosswalk(F.col("class_name"), v.FEATURE_IDS).alias("value"))
+    return f.where(labels.valid_class(F.col("class_name"), F.col("value"))).distinct()
+
+
+@query(f"WITH {_AREAS} SELECT win_id, round(total_area, 6) AS total_area, round(valid_area, 6) AS valid_area FROM areas WHERE total_area > 0 AND valid_area > 0 AND valid_area >= {LABEL_SHARE * LABEL_WS * LABEL_WS}")
+def label_area_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = labels.window_areas(_clipped(spark, sf_dir), v.FEATURE_IDS)
+    return a.where((F.col("total_area") > 0) & (F.col("has_valid") == 1) & (F.col("valid_area") >= F.lit(LABEL_SHARE * LABEL_WS * LABEL_WS))).select("win_id", _six("total_area"), _six("valid_area"))
+
+
+@query(f"WITH {_CLIP} SELECT win_id, class_name, round(sum(area) / (SELECT sum(area) FROM clip t WHERE t.win_id = clip.win_id), 6) AS fraction FROM clip WHERE class_name IS NOT NULL GROUP BY win_id, class_name")
+def class_area_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.class_fractions(_clipped(spark, sf_dir)).select("win_id", "class_name", _six("fraction"))
+
+
+@query(f"WITH {_AREAS}, j AS (SELECT w.win_id, coalesce(total_area, 0) AS t, coalesce(valid_area, 0) AS a FROM win w LEFT JOIN areas USING (win_id)) SELECT win_id, allow_empty, CASE WHEN t > 0 AND a > 0 AND a >= {LABEL_SHARE * LABEL_WS * LABEL_WS} THEN 'label' WHEN allow_empty THEN 'empty' ELSE 'reject' END AS outcome FROM j, (SELECT unnest([true, false]) AS allow_empty)")
+def tile_accept_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = labels.window_areas(_clipped(spark, sf_dir), v.FEATURE_IDS)
+    both = [labels.accept(_label_windows(spark), a, LABEL_WS * LABEL_WS, LABEL_SHARE, e).select("win_id", F.lit(e).alias("allow_empty"), "outcome") for e in (True, False)]
+    return both[0].union(both[1])
+
+
+_BURN = f"pts AS (SELECT fid, {_IDS} AS value, c, unnest(range(y_min::BIGINT, y_max::BIGINT)) AS r FROM (SELECT *, unnest(range(x_min::BIGINT, x_max::BIGINT)) AS c FROM v_features)), burn AS (SELECT r, c, arg_max(value, fid) AS value FROM pts WHERE value IS NOT NULL GROUP BY r, c)"
+
+
+def _burnt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = v.features(spark, sf_dir)
+    return labels.burn(f, scalar.crosswalk(F.col("class_name"), v.FEATURE_IDS))
+
+
+@query(f"WITH {_BURN} SELECT r, c, value FROM burn")
+def rasterize_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _burnt(spark, sf_dir)
+
+
+@query(f"WITH {_BURN} SELECT r, c, CASE WHEN v > 0 THEN coalesce(value, 0) ELSE 0 END AS value FROM v_label_pixels LEFT JOIN burn USING (r, c)")
+def label_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.mask_labels(_burnt(spark, sf_dir), v.label_pixels(spark, sf_dir).select("r", "c", "v"))
+
+
+@query(f"WITH {_AREAS} SELECT w.win_id, 0 AS value, {LABEL_WS * LABEL_WS}::BIGINT AS cells FROM win w LEFT JOIN areas a USING (win_id) WHERE NOT coalesce(a.total_area > 0 AND a.valid_area > 0 AND a.valid_area >= {LABEL_SHARE * LABEL_WS * LABEL_WS}, false)")
+def empty_label_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label tiles of zeros for windows without enough labels."""
+    a = labels.window_areas(_clipped(spark, sf_dir), v.FEATURE_IDS)
+    out = labels.accept(_label_windows(spark), a, LABEL_WS * LABEL_WS, LABEL_SHARE, True).where("outcome = 'empty'")
+    return out.select("win_id", F.lit(0).alias("value"), F.lit(LABEL_WS * LABEL_WS).cast("long").alias("cells"))
+
+
+# Tensors
+
+_TW = "win AS (SELECT (x * 100000 + y)::BIGINT AS win_id, (x * 4)::DOUBLE AS x_min, (y * 4)::DOUBLE AS y_min, (x * 4 + 4)::DOUBLE AS x_max, (y * 4 + 4)::DOUBLE AS y_max FROM (SELECT unnest(range(0, 13)) AS x), (SELECT unnest(range(0, (SELECT (max(y_max) // 4)::BIGINT + 1 FROM v_tiles))) AS y))"
+_PAIR = f"{_TW}, pair AS (SELECT win_id, tile_id, w.x_min AS wx, w.y_max AS wy, t.x_min AS tx, t.y_max AS ty, greatest(w.x_min, t.x_min) AS x0, least(w.x_max, t.x_max) AS x1, greatest(w.y_min, t.y_min) AS y0, least(w.y_max, t.y_max) AS y1, t FROM win w JOIN v_tiles t ON w.x_min < t.x_max AND w.x_max > t.x_min AND w.y_min < t.y_max AND w.y_max > t.y_min)"
+_SLICE = f"{_PAIR}, slice AS (SELECT win_id, tile_id, t, (x0 - wx)::INT AS a_c0, (wy - y1)::INT AS a_r0, (x0 - tx)::INT AS b_c0, (ty - y1)::INT AS b_r0, (x1 - x0)::INT AS w, (y1 - y0)::INT AS h FROM pair)"
+_CELL = "cell AS (SELECT tile_id, i // 16 AS cls, i % 16 // 4 AS row, i % 4 AS col, p::DOUBLE AS p FROM (SELECT tile_id, unnest(t) AS p, unnest(range(0, 64)) AS i FROM v_tiles))"
+_MEAN = f"{_SLICE}, {_CELL}, mean AS (SELECT s.win_id, cls, row - b_r0 + a_r0 AS row, col - b_c0 + a_c0 AS col, avg(p) AS p FROM slice s JOIN cell c ON s.tile_id = c.tile_id AND row >= b_r0 AND row < b_r0 + h AND col >= b_c0 AND col < b_c0 + w GROUP BY ALL)"
+_FULL = f"{_MEAN}, wins AS (SELECT DISTINCT win_id FROM mean), fullgrid AS (SELECT win_id, k.cls, g.row, h.col FROM wins, (SELECT unnest(range(0, 4)) AS cls) k, (SELECT unnest(range(0, 4)) AS row) g, (SELECT unnest(range(0, 4)) AS col) h), avgs AS (SELECT f.win_id, f.cls, f.row, f.col, coalesce(m.p, 0) AS p FROM fullgrid f LEFT JOIN mean m USING (win_id, cls, row, col))"
+
+
+def _tile_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y = v.tiles(spark, sf_dir).agg(F.floor(F.max("y_max") / 4).alias("n")).select(F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("y"))
+    w = y.select("y", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(12).cast("long"))).alias("x"))
+    x, y_ = F.col("x") * 4, F.col("y") * 4
+    return w.select((F.col("x") * 100000 + F.col("y")).alias("win_id"), x.cast("double").alias("x_min"), y_.cast("double").alias("y_min"), (x + 4).cast("double").alias("x_max"), (y_ + 4).cast("double").alias("y_max"))
+
+
+def _mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensors.overlap_mean(_tile_windows(spark, sf_dir), v.tiles(spark, sf_dir), 4, TILE, 4.0)
+
+
+@query(f"WITH {_PAIR} SELECT win_id, tile_id FROM pair")
+def tile_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.box_join(_tile_windows(spark, sf_dir), v.tiles(spark, sf_dir).drop("t"), 4.0).select(F.col("a_win_id").alias("win_id"), F.col("b_tile_id").alias("tile_id"))
+
+
+@query(f"WITH {_SLICE} SELECT win_id, tile_id, a_c0, a_r0, b_c0, b_r0, w, h FROM slice")
+def overlap_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = tensors.overlap_slices(_tile_windows(spark, sf_dir), v.tiles(spark, sf_dir).drop("t"), TILE, 4.0)
+    return s.select(F.col("a_win_id").alias("win_id"), F.col("b_tile_id").alias("tile_id"), "a_c0", "a_r0", "b_c0", "b_r0", "w", "h")
+
+
+@query(f"WITH {_FULL} SELECT win_id, cls::INT AS cls, row::INT AS row, col::INT AS col, round(p, 6) AS p FROM avgs")
+def softmax_overlap_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mean(spark, sf_dir).select("win_id", "cls", "row", "col", _six("p"))
+
+
+@query(f"WITH {_FULL}, q AS (SELECT win_id, row, col, cls, row_number() OVER (PARTITION BY win_id, row, col ORDER BY round(p, 6) DESC, cls) AS n FROM avgs) SELECT win_id, row::INT AS row, col::INT AS col, cls::INT AS cls FROM q WHERE n = 1")
+def argmax_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _mean(spark, sf_dir).withColumn("p", F.round("p", 6))
+    return tensors.argmax(m, ("win_id", "row", "col"))
+
+
+@query(f"WITH {_CELL} SELECT tile_id, count(*)::BIGINT AS total, round(count(*) FILTER (WHERE p > 0.1) / count(*), 6) AS nonzero_prop FROM cell GROUP BY tile_id")
+def tile_nonzero_prop_all_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tensors.cells(v.tiles(spark, sf_dir), 4, *TILE).withColumn("p", F.when(F.col("p") > 0.1, F.col("p")).otherwise(F.lit(0.0)))
+    return tensors.nonzero_share(c, "tile_id").select("tile_id", "total", _six("nonzero_prop"))
+
+
+@query("WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(0, 64)) AS k FROM embeddings), m AS (SELECT vec_id, k, exp(x - max(x) OVER (PARTITION BY vec_id)) AS z FROM e) SELECT vec_id, k::INT AS k, round(z / sum(z) OVER (PARTITION BY vec_id), 6) AS p FROM m")
+def softmax_from_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = v.table(spark, sf_dir, "embeddings").select("vec_id", tensors.softmax(F.col("embedding").cast("array<double>")).alias("p"))
+    return e.select("vec_id", F.posexplode("p").alias("k", "p")).select("vec_id", "k", _six("p"))
+
+
+@query(f"WITH {_CELL} SELECT tile_id, row::INT AS row, col::INT AS col, CASE WHEN p >= 0.1 THEN 0 ELSE row * 4 + col + 1 END AS v FROM cell WHERE cls = 1")
+def prob_threshold_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels become 0 where class 1 reaches 0.1."""
+    t = v.tiles(spark, sf_dir)
+    p = t.select("tile_id", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("i")).select("tile_id", F.expr("cast(i div 4 as int)").alias("row"), (F.col("i") % 4).alias("col"), (F.col("i") + 1).cast("long").alias("v"))
+    return tensors.shadow_masked(p, t, 1, TILE, 0.1)
+
+
+@query("SELECT p_partkey, CASE WHEN d2 <= 64 AND d2 <= d0 AND d2 <= d1 THEN 2 WHEN d0 <= 64 AND d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= 64 AND d1 <= d0 AND d1 <= d2 THEN 1 ELSE -1 END AS axis FROM (SELECT p_partkey, p_size * 3 AS d0, p_partkey % 97 AS d1, p_partkey % 89 + 1 AS d2 FROM part)")
+def chw_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = v.table(spark, sf_dir, "part")
+    return p.select("p_partkey", tensors.channel_axis(F.col("p_size") * 3, F.col("p_partkey") % 97, F.col("p_partkey") % 89 + 1).alias("axis"))
+
+
+@query(f"WITH {_CELL}, g AS (SELECT tile_id, cls, row, col, p FROM cell), t AS (SELECT unnest(range(0, 6)) AS i), u AS (SELECT i, (2 * i + 1) * 4 // 12 AS s FROM t) SELECT tile_id, cls::INT AS cls, a.i::INT AS row, b.i::INT AS col, round(p, 6) AS p FROM g JOIN u a ON a.s = g.row JOIN u b ON b.s = g.col")
+def resize_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tensors.cells(v.tiles(spark, sf_dir), 4, *TILE)
+    return tensors.resize_nearest(c, ("tile_id", "cls"), TILE, (6, 6), "p").withColumn("p", _six("p"))
+
+
+@query()
+def resize_antialias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = v.table(spark, sf_dir, "embeddings").select("vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda x: (x + 1) * 128).alias("t"))
+    return tensors.resize_antialias(e, "vec_id", (8, 8), (5, 3))
+
+
+# Mosaics
+
+@query("WITH s AS (SELECT r % 20 AS r, c, v, r // 20 AS ord FROM v_pixels) SELECT r, c, coalesce(arg_max(v, ord) FILTER (WHERE v <> 0), 0) AS v FROM s GROUP BY r, c")
+def mosaic_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strips of 20 rows laid over each other, later ones on top."""
+    p = v.pixels(spark, sf_dir).select((F.col("r") % 20).alias("r"), "c", "v", F.expr("r div 20").alias("ord"))
+    return mosaic.last_wins(p)
+
+
+@query("SELECT level, r // f AS r, c // f AS c, v FROM (SELECT *, (2 ** level)::BIGINT AS f FROM v_pixels, (SELECT unnest(range(1, 10))::INT AS level)) WHERE r % f = f // 2 AND c % f = f // 2")
+def mosaic_overviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mosaic.overviews(v.pixels(spark, sf_dir), 9)
+
+
+@query("WITH s AS (SELECT o_orderkey, greatest(1, round_even(o_totalprice / 4.0, 0)::BIGINT) AS w, greatest(1, round_even((o_orderkey % 1000 + 0.5) / 1.0, 0)::BIGINT) AS h FROM orders) SELECT o_orderkey, CASE WHEN w * h > 1000000 THEN greatest(1, trunc(w / sqrt(w * h / 1000000.0::DOUBLE))::BIGINT) ELSE w END AS w, CASE WHEN w * h > 1000000 THEN greatest(1, trunc(h / sqrt(w * h / 1000000.0::DOUBLE))::BIGINT) ELSE h END AS h FROM s")
+def out_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = v.table(spark, sf_dir, "orders").select("o_orderkey", scalar.out_shape(F.col("o_totalprice") / 4.0, F.col("o_orderkey") % 1000 + F.lit(0.5), F.lit(1.0), F.lit(1000000.0)).alias("s"))
+    return o.select("o_orderkey", "s.w", "s.h")
+
+
+# Regions
+
+def _links(mask: str, near: str) -> str:
+    return f"px AS MATERIALIZED (SELECT r * 2147483648 + c AS id, r, c, cls FROM v_label_pixels WHERE {mask}), lk AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM px a JOIN (SELECT dr, dc FROM (SELECT unnest(range(-1, 2)) AS dr), (SELECT unnest(range(-1, 2)) AS dc) WHERE {near}) d ON true JOIN px b ON b.r = a.r + d.dr AND b.c = a.c + d.dc AND b.cls = a.cls)"
+
+
+def _reach(mask: str, near: str) -> str:
+    return f"WITH RECURSIVE {_links(mask, near)}, reach AS (SELECT id AS n, id AS m FROM px UNION SELECT reach.n, lk.b FROM reach JOIN lk ON lk.a = reach.m), comp AS (SELECT n AS id, min(m) AS comp FROM reach GROUP BY n), lab AS (SELECT r, c, cls, comp FROM px JOIN comp USING (id))"
+
+
+_EIGHT, _FOUR = "abs(dr) + abs(dc) > 0", "abs(dr) + abs(dc) = 1"
+_LAB8, _LAB4 = _reach("cls <> 0", _EIGHT), _reach("true", _FOUR)
+
+
+def _labelled(spark: SparkSession, sf_dir: str, connectivity: int = 8, background: int | None = 0) -> DataFrame:
+    return regions.components(v.label_pixels(spark, sf_dir), connectivity=connectivity, background=background)
+
+
+@query(f"{_LAB8} SELECT r, c, cls, comp FROM lab")
+def components8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(spark, sf_dir)
+
+
+@query(f"{_LAB8}, big AS (SELECT comp FROM lab GROUP BY comp HAVING count(*) >= 3) SELECT r, c, cls, comp FROM lab JOIN big USING (comp)")
+def small_objects_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.without_small(_labelled(spark, sf_dir), 3)
+
+
+@query(f"{_reach('cls = 0', _FOUR)}, small AS (SELECT comp FROM lab GROUP BY comp HAVING count(*) < 3), hole AS (SELECT r, c FROM lab JOIN small USING (comp)) SELECT p.r, p.c, CASE WHEN h.r IS NOT NULL OR p.cls <> 0 THEN 1 ELSE 0 END AS cls FROM v_label_pixels p LEFT JOIN hole h USING (r, c)")
+def hole_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mask = v.label_pixels(spark, sf_dir).select("r", "c", (F.col("cls") != 0).cast("int").alias("cls"))
+    return regions.fill_holes(mask, 3)
+
+
+@query(f"{_LAB4} SELECT comp, cls, count(*)::DOUBLE AS area_m, min(r) AS r_min, max(r) AS r_max, min(c) AS c_min, max(c) AS c_max FROM lab GROUP BY comp, cls")
+def polygonize_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.polygons(v.label_pixels(spark, sf_dir))
+
+
+@query(f"{_LAB4} SELECT comp, cls, count(*)::DOUBLE AS area_m FROM lab WHERE cls <> 0 GROUP BY comp, cls")
+def drop_nodata_polys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.polygons(v.label_pixels(spark, sf_dir)).where("cls <> 0").select("comp", "cls", "area_m")
+
+
+NAMES = {1: "Fines", 2: "Sand", 4: "Boulder"}
+
+
+@query(f"{_LAB4} SELECT CASE cls WHEN 1 THEN 'Fines' WHEN 2 THEN 'Sand' WHEN 4 THEN 'Boulder' ELSE cls::VARCHAR END AS name, count(DISTINCT comp)::BIGINT AS patches, count(*)::DOUBLE AS area_m FROM lab GROUP BY 1")
+def class_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of classes, the number where there is none."""
+    names = F.broadcast(spark.createDataFrame(list(NAMES.items()), "cls int, name string"))  # one row for each class
+    p = regions.polygons(v.label_pixels(spark, sf_dir)).join(names, "cls", "left").withColumn("name", F.coalesce("name", F.col("cls").cast("string")))
+    return p.groupBy("name").agg(F.count("*").alias("patches"), F.sum("area_m").alias("area_m"))
+
+
+_NEAR4 = "nb AS MATERIALIZED (SELECT DISTINCT x.comp, y.comp AS nbr FROM lab x JOIN (SELECT dr, dc FROM (SELECT unnest(range(-1, 2)) AS dr), (SELECT unnest(range(-1, 2)) AS dc)) d ON true JOIN lab y ON y.r = x.r + d.dr AND y.c = x.c + d.dc AND y.comp <> x.comp)"
+
+
+@query(f"{_LAB4}, {_NEAR4} SELECT comp, nbr FROM nb")
+def patch_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.adjacency(_labelled(spark, sf_dir, 4, None))
+
+
+@query(f"{_LAB4}, {_NEAR4}, ar AS (SELECT comp, count(*) AS area FROM lab GROUP BY comp), o AS (SELECT nb.comp, nb.nbr, row_number() OVER (PARTITION BY nb.comp ORDER BY b.area DESC, nb.nbr) AS n FROM nb JOIN ar a ON a.comp = nb.comp AND a.area < 4 JOIN ar b ON b.comp = nb.nbr) SELECT comp, nbr AS \"into\" FROM o WHERE n = 1")
+def dissolve_pass1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each patch below 4 goes in the first pass."""
+    lab = _labelled(spark, sf_dir, 4, None)
+    return regions.receivers(lab.groupBy("comp").agg(F.count("*").cast("double").alias("area")), regions.adjacency(lab), 4.0)
+
+
+@query()
+def dissolve_small_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.dissolve(_labelled(spark, sf_dir, 4, None), 4.0)
+
+
+@query()
+def watershed_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.clean_labels(v.label_pixels(spark, sf_dir), 3)
+
+
+@query()
+def simplify_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.simplify(regions.rings(_labelled(spark, sf_dir, 4, None)), 0.75)
+
+
+# COCO
+
+_QUAD = "qd AS (SELECT comp, count(*) AS n FROM (SELECT comp, r - a AS qr, c - b AS qc FROM lab, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b)) GROUP BY comp, qr, qc), ca AS (SELECT comp, sum(CASE n WHEN 4 THEN 1.0 WHEN 3 THEN 0.5 ELSE 0 END)::DOUBLE AS area FROM qd GROUP BY comp), bx AS (SELECT comp, cls, min(c) AS x, min(r) AS y, max(c) - min(c) + 1 AS w, max(r) - min(r) + 1 AS h FROM lab GROUP BY comp, cls), reg AS (SELECT bx.*, area, y // 10 AS image_id FROM bx JOIN ca USING (comp) WHERE area > 0)"
+
+
+@query(f"{_LAB8}, {_QUAD} SELECT comp, cls, x, y, w, h, area FROM reg")
+def coco_bbox_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coco.boxes(_labelled(spark, sf_dir))
+
+
+@query("WITH f AS (SELECT DISTINCT regexp_extract(path, '[^/]*$') AS file_name FROM v_paths) SELECT row_number() OVER (ORDER BY file_name)::BIGINT AS id, file_name, 512 AS width, 512 AS height FROM f")
+def coco_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = v.paths(spark, sf_dir).select(scalar.basename(F.col("path")).alias("file_name")).distinct()
+    return coco.images(f.select("file_name", F.lit(512).alias("width"), F.lit(512).alias("height")))
+
+
+@query("SELECT * FROM (VALUES (1, 'Fines'), (2, 'Sand'), (4, 'Boulder')) t(id, name)")
+def coco_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame(coco.categories({0: "Unknown", **NAMES}), "id int, name string")
+
+
+@query(f"{_LAB8}, {_QUAD} SELECT row_number() OVER (ORDER BY image_id, cls, y, x, comp)::BIGINT AS id, image_id, cls AS category_id, x, y, w, h, area FROM reg")
+def coco_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reg = coco.boxes(_labelled(spark, sf_dir)).withColumn("image_id", F.expr("y div 10"))
+    b = F.col("bbox")
+    return coco.annotations(reg).select("id", "image_id", "category_id", b[0].alias("x"), b[1].alias("y"), b[2].alias("w"), b[3].alias("h"), "area")
+
+
+@query()
+def coco_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coco.segmentation(_labelled(spark, sf_dir))
+
+
+_FILES = "m AS (SELECT 'masks/' || (id % 40) || '.png' AS path FROM v_paths WHERE id % 2 = 0), i AS (SELECT 'images/' || (id % 50) || '.' || ['png', 'jpg', 'tif', 'txt'][1 + id % 4] AS path FROM v_paths)"
+_PICK = "im AS (SELECT regexp_extract(path, '([^/]*)\\.[^.]*$', 1) AS base, path, list_position(['png', 'jpg', 'jpeg', 'tif', 'tiff'], regexp_extract(path, '[^.]*$')) AS k FROM (SELECT DISTINCT path FROM i)), pick AS (SELECT base, arg_min(path, k) AS image FROM im WHERE k > 0 GROUP BY base)"
+
+
+@query(f"WITH {_FILES}, {_PICK} SELECT path AS mask, image FROM (SELECT DISTINCT path FROM m) JOIN pick ON base = regexp_extract(path, '([^/]*)\\.[^.]*$', 1)")
+def mask_image_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = v.paths(spark, sf_dir)
+    m = p.where("id % 2 = 0").select(F.concat(F.lit("masks/"), (F.col("id") % 40).cast("string"), F.lit(".png")).alias("path")).distinct()
+    kind = F.element_at(F.array(*map(F.lit, ("png", "jpg", "tif", "txt"))), (F.col("id") % 4 + 1).cast("int"))
+    i = p.select(F.concat(F.lit("images/"), (F.col("id") % 50).cast("string"), F.lit("."), kind).alias("path")).distinct()
+    return coco.match_masks(m, i, keep_unmatched=False)
+
+
+# Series
+
+@query("WITH a AS (SELECT transect, ping_cnt, count(*) AS n FROM v_pings GROUP BY ALL), b AS (SELECT transect, dep_bin, count(*) AS n FROM v_pings GROUP BY ALL), x AS (SELECT transect, ping_cnt, row_number() OVER (PARTITION BY transect ORDER BY n DESC, ping_cnt) AS k FROM a), y AS (SELECT transect, dep_bin, row_number() OVER (PARTITION BY transect ORDER BY n DESC, dep_bin) AS k FROM b) SELECT x.transect, ping_cnt AS ping_max, dep_bin AS dep_mode FROM x JOIN y ON x.transect = y.transect WHERE x.k = 1 AND y.k = 1")
+def modal_ping_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sonogram.modal_range(v.pings(spark, sf_dir))
+
+
+@query("WITH c AS (SELECT DISTINCT transect, chunk FROM v_pings) SELECT transect, chunk, lead(chunk) OVER (PARTITION BY transect ORDER BY chunk) AS next_chunk FROM c")
+def chunk_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sonogram.chunk_pairs(v.pings(spark, sf_dir).select("transect", "chunk").distinct())
+
+
+@query("WITH n AS (SELECT transect, chunk, count(*) AS size, min(ping) AS first FROM v_pings GROUP BY ALL), s AS (SELECT transect, chunk, first, unnest(range(0, least(size, 32), 8)) AS start FROM n) SELECT s.transect, s.chunk, s.start, count(*)::BIGINT AS pings, sum(ping_cnt)::BIGINT AS total FROM s JOIN v_pings p ON p.transect = s.transect AND p.ping >= first + start AND p.ping < first + start + 32 GROUP BY ALL")
+def sonogram_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sonogram.sliding(v.pings(spark, sf_dir), 32, 8, F.col("ping_cnt"))
+
+
+@query("WITH m AS (SELECT transect, (max(ping_cnt) FILTER (WHERE ping < 50)) AS size FROM v_pings GROUP BY transect), g AS (SELECT transect, unnest(range(0, size)) AS ping FROM m) SELECT g.transect, g.ping, coalesce(p.ping_cnt, 0) AS ping_cnt FROM g LEFT JOIN v_pings p USING (transect, ping)")
+def pad_trim_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each transect cut or padded to the largest of its first 50 ranges."""
+    p = v.pings(spark, sf_dir)
+    return sonogram.pad_trim(p, F.when(F.col("ping") < 50, F.col("ping_cnt")), ("transect",), "ping", "ping_cnt")
+
+
+@query("SELECT transect, ping, 'img_' || printf('%05d', ping * 37) || '.jpg' AS name FROM v_pings")
+def frame_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return v.pings(spark, sf_dir).select("transect", "ping", F.concat(F.lit("img_"), scalar.frame_number(F.col("ping") * 37), F.lit(".jpg")).alias("name"))
+
+
+# Utilities
+
+_STEM = "regexp_replace(regexp_extract(path, '[^/]*$'), '\\.[^.]*$', '')"
+_MAPS = "mo AS (SELECT path FROM v_paths), ma AS (SELECT 'maps/' || regexp_extract(path, '[^/]*$') || '.shp' AS path FROM v_paths WHERE id % 3 = 0 UNION ALL SELECT 'maps/b/' || regexp_extract(path, '[^/]*$') || '.tif' FROM v_paths WHERE id % 6 = 0)"
+
+
+def _maps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    p = v.paths(spark, sf_dir)
+    base = scalar.basename(F.col("path"))
+    one = p.where("id % 3 = 0").select(F.concat(F.lit("maps/"), base, F.lit(".shp")).alias("path"))
+    two = p.where("id % 6 = 0").select(F.concat(F.lit("maps/b/"), base, F.lit(".tif")).alias("path"))
+    return p.select("path"), one.union(two)
+
+
+@query(f"WITH {_MAPS}, f AS (SELECT {_STEM} AS base, min(path) AS map FROM ma GROUP BY 1) SELECT path AS mosaic, map FROM mo LEFT JOIN f ON f.base = {_STEM}")
+def pair_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.paired(*_maps(spark, sf_dir))
+
+
+@query(f"WITH {_MAPS} SELECT path AS mosaic FROM mo WHERE {_STEM} NOT IN (SELECT {_STEM} FROM ma)")
+def unmatched_mosaics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.unmatched(*_maps(spark, sf_dir))
+
+
+@query(f"WITH {_MAPS} SELECT {_STEM} AS base, count(*)::BIGINT AS n FROM ma GROUP BY 1 HAVING count(*) > 1")
+def duplicate_basenames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.duplicates(_maps(spark, sf_dir)[1])
+
+
+CONFIGS = (
+    (1, '{"MY_CLASS_NAMES": {"01": "Fines", "2": "Sand", "x": "Other"}}'), (2, '{"id2label": {"0": "Fines", "1": "Sand"}}'), (3, '{"id2label": {"Fines": 0, "Sand": "1"}}'),
+    (4, '{"label2id": {"Fines": 0, "Sand": 1}}'), (5, '{"MY_CLASS_NAMES": {}, "label2id": {"0": "Fines", "1": "Sand"}}'),
+)
+_FOUND = "(1, '1', 'Fines'), (1, '2', 'Sand'), " + ", ".join(f"({i}, '0', 'Fines'), ({i}, '1', 'Sand')" for i in (2, 3, 4, 5))
+
+
+@query(f"SELECT * FROM (VALUES {_FOUND}) t(id, cls, name)")
+def class_name_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = spark.createDataFrame(list(CONFIGS), "id int, config string")
+    return c.select("id", F.explode(scalar.class_names(F.col("config"))).alias("cls", "name"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN k WHEN event_id % 3 = 1 THEN k + 1 ELSE 224 END AS height, CASE WHEN event_id % 3 = 0 THEN k WHEN event_id % 3 = 1 THEN k + 2 ELSE 224 END AS width FROM (SELECT event_id, json_extract(props, '$.k')::INT AS k FROM events)")
+def target_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes from configurations that name a side, a size or neither."""
+    e = v.table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    config = F.when(F.col("event_id") % 3 == 0, F.format_string('{"image_size": %d}', "k")).when(F.col("event_id") % 3 == 1, F.format_string('{"TARGET_SIZE": [%d, %d, 3]}', F.col("k") + 1, F.col("k") + 2)).otherwise(F.lit("{}"))
+    s = scalar.target_size(config)
+    return e.select("event_id", s[0].alias("height"), s[1].alias("width"))
+
+
+def _rgb(i: int) -> str:
+    return "CASE (cls + 3) % 10 " + " ".join(f"WHEN {k} THEN {int(h[1 + 2 * i : 3 + 2 * i], 16)}" for k, h in enumerate(COLOURS)) + " END"
+
+
+@query("SELECT r, c, " + ", ".join(f"CASE WHEN v = 0 THEN 0 ELSE {_rgb(i)} END AS {n}" for i, n in enumerate(("red", "green", "blue"))) + " FROM v_label_pixels")
+def label_to_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rgb = scalar.label_colour(F.col("cls"), F.col("v") == 0, COLOURS, 3)
+    return v.label_pixels(spark, sf_dir).select("r", "c", *(rgb[i].alias(n) for i, n in enumerate(("red", "green", "blue"))))
+
+
+@query("WITH d AS (SELECT DISTINCT cls FROM v_label_pixels WHERE cls > 0), k AS (SELECT cls, row_number() OVER (ORDER BY cls) AS k FROM d) SELECT r, c, round(CASE WHEN p.cls > 0 THEN 0.5 * (v % 256) + 0.5 * (k * 10) ELSE v % 256 END, 6) AS value FROM v_label_pixels p LEFT JOIN k USING (cls)")
+def overlay_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colours by rank of the class ids that occur, blended half over the image."""
+    p = v.label_pixels(spark, sf_dir)
+    # One row for each class there is.
+    rank = p.where("cls > 0").select("cls").distinct().select("cls", F.dense_rank().over(Window.orderBy("cls")).alias("k"))
+    image, alpha = (F.col("v") % 256).cast("double"), F.when(F.col("cls") > 0, 0.5).otherwise(0.0)
+    return p.join(rank, "cls", "left").select("r", "c", F.round(scalar.blend(image, F.coalesce(F.col("k") * 10, F.lit(0)), alpha), 6).alias("value"))
+
+
+@query("SELECT fid, CASE WHEN a < b THEN a END AS x_min, CASE WHEN a < b THEN b END AS x_max FROM (SELECT fid, x_min AS a, x_max - fid % 13 AS b FROM v_features)")
+def box_from_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = scalar.box(F.col("x_min"), F.col("y_min"), F.col("x_max") - F.col("fid") % 13, F.col("y_max"))
+    return v.features(spark, sf_dir).select("fid", b["x_min"].alias("x_min"), b["x_max"].alias("x_max"))
+
+
+@query("SELECT r, c, round(1000 + c * 0.25, 6) AS x, round(5000 - r * 0.5, 6) AS y, c AS col, r AS row FROM v_pixels")
+def affine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = v.pixels(spark, sf_dir).withColumn("x", 1000 + F.col("c") * 0.25).withColumn("y", 5000 - F.col("r") * 0.5)
+    return p.select("r", "c", _six("x"), _six("y"), F.floor((F.col("x") - 1000) / 0.25).alias("col"), F.floor((5000 - F.col("y")) / 0.5).alias("row"))
+
+
+@query()
+def reproject_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features to UTM zone 16 north and back."""
+    f = v.features(spark, sf_dir).select("fid", (F.col("x_min") / 100 - 87.5).alias("lon"), (F.col("y_min") / 100 + 33).alias("lat"))
+    x, y = crs.reproject(F.col("lon"), F.col("lat"), 4326, 32616)
+    f = f.withColumn("x", x).withColumn("y", y)
+    lon, lat = crs.reproject(F.col("x"), F.col("y"), 32616, 4326)
+    return f.select("fid", "x", "y", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
