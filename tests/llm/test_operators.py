@@ -1,0 +1,529 @@
+"""Each operator against brute force, on small tables with nulls, empty and long texts, ties, repeats and columns whose
+names clash with the operator's own."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from gridloom.llm import ann, chat, ctw, fingerprint, minhash, mixing, packing, pii, substring, textkit, tokens, toxicity
+from gridloom.llm.components import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(t):
+    return WORD.findall(t or "")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    r = random.Random(5)
+    vocabulary = ["alpha", "beta", "Gamma", "délta", "eps", "ζ", "eta,", "theta.", "i", "k9"]
+    text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    out = [(0, None), (1, ""), (2, " \n\t "), (3, "one"), (4, "one"), (5, "two words"), (6, text(40)), (7, text(3000))]
+    base = text(60)
+    out += [(8 + i, base) for i in range(4)]
+    out += [(12 + i, base + f" tail{i}") for i in range(4)]
+    out += [(16, text(25) + "\n" + base), (17, "x" * 5000), (18, "Tab\tand\x0bvertical\x0cfeeds"), (19, " nbsp wide 日本 🙂 é")]
+    out += [(20 + i, text(r.randint(1, 80))) for i in range(20)]
+    return out
+
+
+def frame(spark, rows):
+    """Documents with columns that clash with names used inside."""
+    data = [(i, t, "en", [None, "a", "b", "Z"][i % 4], len(t or "")) for i, t in rows]
+    df = spark.createDataFrame(data, DOCS)
+    for name in ("id", "u", "size", "n", "key", "row", "block", "start", "length_", "score", "kind", "taken"):
+        df = df.withColumn(name, F.lit("clash"))
+    return df
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return frame(spark, rows).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return frame(spark, [(1, "x")]).where("false")
+
+
+def test_words_and_hashes():
+    texts = ["", None, "a b", " a\tb\x0b", "ab", "é É", "x" * 50, "tail ", "next"]
+    col = pa.array(texts, pa.string())
+    for lower in (False, True):
+        seen = {}
+        for lo, hi, w in textkit.slice_words(col, lower, limit=7):
+            h = w.hashes()
+            for i in range(lo, hi):
+                a, b = w.bounds[i - lo], w.bounds[i - lo + 1]
+                want = [x.encode().lower() if lower else x.encode() for x in words(texts[i])]
+                assert [bytes(w.data[s:e]) for s, e in zip(w.start[a:b], w.end[a:b])] == want
+                for x, y in zip(want, h[a:b]):
+                    assert seen.setdefault(x, y) == y
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_known_table():
+    r = np.random.default_rng(1)
+    h = np.unique(r.integers(0, 2**64, 3000, dtype=np.uint64))
+    t = textkit.Known(13)
+    t.add(h, np.arange(len(h)))
+    assert (t.find(h) == np.arange(len(h))).all()
+    assert (t.find(h ^ np.uint64(1) << np.uint64(40)) == -1).all()
+
+
+# op1
+
+
+def test_water_fill():
+    assert mixing.water_fill([10, 10], [1, 1], 15, 2) == [7.5, 7.5]
+    got = mixing.water_fill([1, 100, 100], [5, 2, 1], 150, 2)
+    assert got[0] == 2 and math.isclose(got[1], 148 * 2 / 3) and math.isclose(sum(got), 150)
+    assert mixing.water_fill([0, 5], [1, 1], 100, 2) == [0, 10]
+    assert mixing.water_fill([], [], 0, 2) == []
+
+
+def test_mix(spark, docs, rows, empty):
+    got = mixing.mix(docs, mixing.cycle_weights()).collect()
+    assert len(got) == len(rows)
+    size = {i: len(words(t)) for i, t in rows}
+    assert {r["doc_id"]: r["size"] for r in got} == size
+    by = defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+    order = sorted(by, key=lambda s: (s is None, s or ""))
+    sizes = [sum(r["size"] for r in by[s]) for s in order]
+    want = mixing.water_fill(sizes, [5, 2, 1, 5], 1.5 * sum(sizes), 2)
+    for s, t, w in zip(order, sizes, want):
+        assert {r["source_size"] for r in by[s]} == {t} and all(math.isclose(r["target"], w) for r in by[s])
+        assert abs(sum(r["taken"] for r in by[s]) - w) <= 1
+        assert all(r["taken"] == r["repeats"] * r["size"] + r["partial"] <= 2 * r["size"] for r in by[s])
+        assert sum(r["partial"] > 0 for r in by[s]) <= 1
+    again = mixing.mix(docs.repartition(3), mixing.cycle_weights()).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
+    assert mixing.mix(empty, mixing.cycle_weights()).count() == 0
+
+
+# op2
+
+
+def shingles(t, k):
+    w = [x.encode().lower() for x in words(t)]
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+
+
+def near(rows, k, percent):
+    sets = [(i, shingles(t, k)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, (i, s) in enumerate(sets):
+        for j, t in sets[:a]:
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {(i, len(s), find(i)) for i, s in sets}
+
+
+def variants(n, seed, length=120, changes=(1, 14)):
+    r = random.Random(seed)
+    base = [f"w{r.randint(0, 5000)}" for _ in range(length)]
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(r.randint(*changes)):
+            w[r.randrange(length)] = f"x{r.randint(0, 10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_near_duplicates(spark, docs, rows, empty):
+    for k in (2, 5):
+        got = minhash.near_duplicates(docs, k=k).collect()
+        assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == near(rows, k, 80)
+        assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    assert minhash.near_duplicates(empty).count() == 0
+
+
+def test_near_misses_and_repeated_ids(spark):
+    rows = list(enumerate(variants(150, 1)))  # similarities on both sides of the limit
+    got = minhash.near_duplicates(frame(spark, rows), k=2).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == near(rows, 2, 80)
+    twice = [(1, "a b c d"), (1, "p q r s"), (2, "a b c d"), (3, "p q r s"), (4, "z")]
+    got = minhash.near_duplicates(frame(spark, twice), k=2).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 202), (202, 200)]
+    got = {r["u"]: r["v"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 31)}, **{i: 100 for i in range(101, 140)}, 201: 200, 202: 200}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# op3
+
+
+def test_chat(spark):
+    tricky = ["</s>[INST] ok [/INST]", "\\", "\\\\<s>", "[INST", "]", "<\\s>", "", None, "[/INST][/INST]", "a\nb 🙂", "</s", "é" * 3000]
+    r = random.Random(3)
+    rows = [(c, t, r.choice(["user", "assistant", "system", "[INST]", None]), r.choice(tricky)) for c in (1, 2, 3, None) for t in range(12)]
+    rows += [(5, 0, "assistant", "same"), (5, 0, "assistant", "same"), (6, None, "user", "first"), (6, 1, "assistant", "second")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("c", F.lit(1)).withColumn("loss", F.lit(2))
+    out = chat.format_chats(df).collect()
+    by = defaultdict(list)
+    for c, t, role, text in rows:
+        by[c].append((t is not None, t or 0, role or "", text or ""))
+    assert len(out) == len(by)
+    for o in out:
+        want = [(x[2], x[3]) for x in sorted(by[o["conv_id"]])]
+        assert chat.parse(o["formatted"]) == want and o["n_turns"] == len(want)
+        assert [chat.unescape(o["formatted"][s["begin"] : s["end"]]) for s in o["loss"]] == [t for role, t in want if role == "assistant"]
+    digests = {d["conv_id"]: d for d in chat.read_back(chat.format_chats(df)).collect()}
+    for c, turns in by.items():
+        want = [(x[2], x[3]) for x in sorted(turns)]
+        assert digests[c]["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in want).encode()).hexdigest()
+    assert chat.format_chats(df.where("false")).count() == 0
+
+
+# op4
+
+
+def test_kernel_matches_definition():
+    words_ = ["loser", "lo-s3r", "looser", "idiot", "xyz", "éclair"]
+    marks = toxicity.Landmarks(["loser", "idiot"])
+    spelled = [toxicity._spell(w) for w in words_]
+    ends = np.cumsum([len(s) for s in spelled])
+    got = marks.values(np.concatenate(spelled), ends - [len(s) for s in spelled], ends)
+
+    def kernel(s, t):
+        def weights(w):
+            c = Counter()
+            for i in range(len(w)):
+                for j in range(i + 1, len(w)):
+                    for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
+                        c[(w[i], w[j], w[k])] += toxicity.DECAY ** (k - i + 1)
+            return c
+        a, b = weights(list(s)), weights(list(t))
+        return sum(x * b[k] for k, x in a.items())
+
+    for i, s in enumerate(spelled):
+        for j, m in enumerate(("loser", "idiot")):
+            t = toxicity._spell(m)
+            assert math.isclose(got[i, j], min(1, kernel(s, t) / kernel(t, t)), rel_tol=1e-4, abs_tol=1e-6)
+    assert got[0, 0] == 1 and got[1, 0] > 0.5 and got[2, 0] > 0.4 and got[4].max() == 0
+
+
+def test_toxicity(spark, docs, rows, empty):
+    r = random.Random(8)
+    clean = ["table", "river", "window", "garden", "music", "winter", "paper", "number"]
+    text = lambda bad: " ".join([r.choice(clean) for _ in range(30)] + bad)
+    data = [(i, text(r.sample(["loser", "moron", "scum"], 2) if i % 4 == 0 else [])) for i in range(400)]
+    df = frame(spark, data)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)] + [(1, None)], "doc_id long, toxic int")
+    model = toxicity.train(df, labels)
+    extra = [(900, text(["m.o.r.o.n", "l o s e r"])), (901, text(["looser", "moronn", "scumm"])), (902, None), (903, ""), (904, text([]) * 50)]
+    got = {x["doc_id"]: x["score"] for x in toxicity.score_texts(frame(spark, data + extra), model).collect()}
+    assert all((got[i] >= 0.5) == (i % 4 == 0) for i in range(400))
+    assert got[900] >= 0.5 and got[901] >= 0.5 and max(got[902], got[903], got[904]) < 0.5 and got[902] == got[903]
+    none = toxicity.train(df, labels.where("toxic = 0"))
+    assert all(x["score"] < 0.01 for x in toxicity.score_texts(df, none).collect())
+    assert toxicity.train(df, labels.where("false")) == none
+    assert toxicity.score_texts(empty, model).count() == 0
+    assert toxicity.score_texts(docs, model).count() == len(rows)
+
+
+# op5
+
+
+def test_tokens_equal_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.VOCABULARY)
+    whole = Tokenizer.from_file(path)
+    r = random.Random(2)
+    parts = ["it's", "'ll", "'", " ", "  ", "\n", "\t", "a", "Zé", "ñ", "12", "<|endoftext|>", "×", "日", "\x1c", "\xa0", "!?", "'re", "we've", "¿", "-", "🙂"]
+    texts = ["", None] + ["".join(r.choice(parts) for _ in range(r.randint(1, 30))) for _ in range(600)]
+    for lo, hi, ids, n in tokens.token_batches(pa.array(texts), path):
+        ends = np.cumsum(n)
+        for i in range(lo, hi):
+            assert ids[ends[i - lo] - n[i - lo] : ends[i - lo]].tolist() == whole.encode(texts[i] or "", add_special_tokens=False).ids, texts[i]
+
+
+def test_packing(spark, docs, rows, empty):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    for capacity in (1024, 64):
+        got = packing.pack_documents(docs, capacity=capacity).collect()
+        by, seq = defaultdict(list), defaultdict(list)
+        for p in got:
+            by[p["doc_id"]].append(p)
+            seq[p["sequence_id"]].append(p)
+        for i, t in rows:
+            ids = np.array([*whole.encode(t or "", add_special_tokens=False).ids, 2], dtype="<u4")
+            pieces = sorted(by[i], key=lambda p: p["piece"])
+            assert [p["piece"] for p in pieces] == list(range(len(pieces))) and sum(p["length"] for p in pieces) == len(ids)
+            assert all(p["length"] == capacity for p in pieces[1:]) and len(pieces) == -(-len(ids) // capacity)
+            for p in pieces:
+                assert zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) == p["ids_crc32"]
+        for s in seq.values():
+            at = 0
+            for p in sorted(s, key=lambda p: p["offset"]):
+                assert p["offset"] == at
+                at += p["length"]
+            assert at <= capacity
+    assert packing.pack_documents(empty).count() == 0
+
+
+def test_plan():
+    r = np.random.default_rng(3)
+    for _ in range(30):
+        counts = np.zeros(65, dtype=np.int64)
+        np.add.at(counts, r.integers(1, 65, r.integers(0, 200)), 1)
+        plan = packing.plan(counts, 64)
+        used = np.zeros(65, dtype=np.int64)
+        for lengths, n in plan:
+            assert sum(lengths) <= 64
+            np.add.at(used, lengths, n)
+        assert (used == counts).all()
+    assert packing.plan(np.bincount([10] * 4 + [54] * 4, minlength=65), 64) == [([54, 10], 4)]
+    assert packing.plan(np.bincount([40, 12, 12], minlength=65), 64) == [([40, 12, 12], 1)]
+    assert packing.plan(np.bincount([31, 11, 11, 11], minlength=65), 64) == [([31, 11, 11, 11], 1)]
+
+
+# op6
+
+FORMS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 if 2 * int(c) > 9 else 2 * int(c)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def base_spans(t):
+    out = []
+    for kind, form in FORMS:
+        for m in re.finditer(form, t or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")), "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def test_pii(spark, empty):
+    r = random.Random(9)
+    bits = ["a@b.co", "a@b.c_d@e.fg", "x..y@z-1.com.", "@", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "0255.1.2.3", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (389) 555-5010", "+12", "++44 20 7946 0958)", "é🙂", " ", "\n", "99", "-", "word", "%+-@q.r"]
+    rows = [(i, "".join(r.choice(bits) + r.choice(["", " "]) for _ in range(r.randint(0, 25)))) for i in range(300)] + [(900, None), (901, "7" * 20000), (902, "a" * 20000 + "@"), (903, "a.b" * 5000 + "@c" + ".d" * 3000)]
+    rows.append((0, "repeated id a@b.co"))
+    got = defaultdict(list)
+    for x in pii.report(frame(spark, rows)).collect():
+        got[x["doc_id"]].append(x)
+    for i, t in rows:
+        spans = base_spans(t)
+        want = hashlib.sha256(",".join(spans).encode()).hexdigest()
+        match = [x for x in got[i] if x["base_sha256"] == want]
+        assert match, (i, t, spans, [x["spans"] for x in got[i]])
+        assert all(match[0][f"n_{k}"] == sum(s.startswith(k) for s in spans) for k, _ in FORMS)
+        assert set(spans) <= set(match[0]["spans"].split(",")) | {""}
+    assert pii.report(empty).count() == 0
+
+
+def test_pii_learns_contexts(spark):
+    rows = [(i, f"please call me at +1 (389) 555-{1000 + i} soon") for i in range(40)] + [(100, "please call me at 555-0199x soon"), (101, "room 555-0199y is free")]
+    got = {x["doc_id"]: x["spans"] for x in pii.report(frame(spark, rows)).collect()}
+    assert got[100] == "phone:18:27" and got[101] == ""
+
+
+def test_redact(spark, empty):
+    df = frame(spark, [(1, "é a@b.co and 1.2.3.4!"), (2, None), (3, "plain"), (4, "4111 1111 1111 1111")])
+    out = {x["doc_id"]: x for x in pii.redact(df).collect()}
+    assert {i: x["text"] for i, x in out.items()} == {1: "é <EMAIL> and <IP>!", 2: None, 3: "plain", 4: "<CARD>"}
+    assert pii.redact(df).columns == df.columns and out[1]["id"] == "clash"
+    assert pii.redact(empty).count() == 0
+
+
+# op7
+
+
+def test_fingerprints(spark, docs, rows, empty):
+    got = {x["doc_id"]: x for x in fingerprint.edited_pairs(docs).collect()}
+    order = sorted(rows)
+    plain = {x["doc_id"]: x["fingerprint"] for x in fingerprint.fingerprint(docs, "text", "doc_id").collect()}
+    by_text = defaultdict(set)
+    for n, (i, t) in enumerate(order):
+        t, nxt = t or "", order[(n + 1) % len(order)][1] or ""
+        k = len(t) // 4
+        edited = t[: len(t) - k] + nxt[:k]
+        x = got[i]
+        assert x["n_chars"] == len(t) and x["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and x["fingerprint"] == plain[i]
+        by_text[t].add(x["fingerprint"])
+        by_text[edited].add(x["edited_fingerprint"])
+        assert 0 <= x["near_edited"] <= 1 and 0 <= x["near_next"] <= 1
+        assert (t != nxt) or x["near_next"] == 1
+    assert all(len(v) == 1 for v in by_text.values())
+    assert got[7]["near_edited"] > 0.6 > 0.3 > got[7]["near_next"]
+    assert fingerprint.edited_pairs(empty).count() == 0
+
+
+def test_fingerprints_are_homomorphic(spark, monkeypatch):
+    a, b = "first line here\n", "second one there\n"
+    v = fingerprint.vectors(pa.array([a, b, a + b, b + a, "", None]))
+    assert (fingerprint.combine(v[0], v[1]) == v[2]).all() and (v[2] == v[3]).all() and (fingerprint.combine(v[2], v[1], -1) == v[0]).all()
+    assert not v[4].any() and not v[5].any() and (fingerprint.from_text(fingerprint.as_text(v)[0]) == v[0]).all()
+    monkeypatch.setattr(fingerprint, "RANGE_CHARS", 60)  # many ranges, so successors cross them
+    rows = [(i, f"text number {i} " * (i % 5)) for i in range(60)]
+    got = {x["doc_id"]: x["edited_sha256"] for x in fingerprint.edited_pairs(frame(spark, rows)).collect()}
+    for i, t in rows:
+        nxt = rows[(i + 1) % 60][1]
+        assert got[i] == hashlib.sha256((t[: len(t) - len(t) // 4] + nxt[: len(t) // 4]).encode()).hexdigest()
+
+
+# op8
+
+
+def test_base_score(spark, docs, rows, empty):
+    got = {x["doc_id"]: x for x in ctw.score(docs, toxicity.fold_of("doc_id", 7) != 2).collect()}
+    tok = {i: [w.encode().lower() for w in words(t)] + ["end"] for i, t in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tok}
+    count = Counter(w for i in tok if not held[i] for w in tok[i])
+    n, v = sum(count.values()), len(count)
+    for i, t in tok.items():
+        x = got[i]
+        assert (x["held_out"], x["n_tokens"], x["n_known"], x["train_tokens"]) == (held[i], len(t), sum(count[w] > 0 for w in t), n)
+        assert math.isclose(x["base_score"], sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9) and x["score"] < 0
+    assert ctw.score(empty, F.lit(True)).count() == 0
+    blank = ctw.score(docs, F.lit(False)).collect()
+    assert all(math.isclose(x["score"], -8 * math.log10(2) * (len((dict(rows)[x["doc_id"]] or "").encode()) + 1), rel_tol=1e-9) for x in blank)
+
+
+def test_context_trees():
+    """Against the definition: one tree for each bit prefix, all depths mixed half and half."""
+    texts, depth = [b"abracadabra", b"abrupt abc", b"", b"ac"], ctw.DEPTH
+    counts = defaultdict(lambda: [0, 0])
+    for t in texts:
+        s = [ctw.END] * depth + list(t) + [ctw.END]
+        for i in range(depth, len(s)):
+            for b in range(8):
+                for d in range(depth + 1):
+                    counts[((1 << b) | (s[i] >> (8 - b)), tuple(s[i - d : i][::-1]))][s[i] >> (7 - b) & 1] += 1
+
+    def kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def weighted(prefix, context):
+        own = kt(*counts.get((prefix, context), (0, 0)))
+        if len(context) == depth:
+            return own, 1.0
+        kids = {c for p, c in counts if p == prefix and len(c) == len(context) + 1 and c[: len(context)] == context}
+        below = sum(weighted(prefix, c)[0] for c in kids)
+        both = np.logaddexp(math.log(0.5) + own, math.log(0.5) + below)
+        return both, math.exp(math.log(0.5) + own - both)
+
+    def predict(prefix, history, bit, d=0):
+        context = tuple(history[:d])
+        a = counts.get((prefix, context), (0, 0))
+        own = (a[bit] + 0.5) / (sum(a) + 1)
+        if d == depth:
+            return own
+        w = weighted(prefix, context)[1]
+        return w * own + (1 - w) * predict(prefix, history, bit, d + 1)
+
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    g, bounds = ctw.grams(data, offsets)
+    assert bounds.tolist() == [0, 12, 23, 24, 27]
+    keys, n = np.unique(g, return_counts=True)
+    bits, nodes = ctw.weigh(keys, n)
+    last, prefix, zeros, ones, log_w = (np.concatenate(x) for x in zip(*nodes))
+    sums = [np.zeros((256, 256)) for _ in range(3)]
+    for m, x in zip(sums, (zeros, ones, log_w)):
+        np.add.at(m, (last.astype(int), prefix.astype(int)), x)
+    at = np.nonzero(sums[0] + sums[1])
+    got = ctw.Top.of(*at, *(m[at] for m in sums)).log10(keys, bits)
+    for key, x in list(zip(keys.tolist(), got))[:12]:
+        history, byte = [(key >> 8 * (depth - i)) & 255 for i in range(depth)], key & 255
+        want = sum(math.log10(predict((1 << b) | (byte >> (8 - b)), history, byte >> (7 - b) & 1)) for b in range(8))
+        assert math.isclose(x, want, rel_tol=1e-9)
+
+
+# op9
+
+
+def removed(rows, k):
+    first, seen = {}, []
+    for i, t in sorted(rows):
+        w = words(t)
+        gone = [False] * len(w)
+        for s in range(len(w) - k + 1):
+            key = tuple(w[s : s + k])
+            if first.setdefault(key, (i, s)) != (i, s):
+                gone[s : s + k] = [True] * k
+        seen.append((i, len(w), sum(gone), hashlib.sha256(" ".join(x for x, g in zip(w, gone) if not g).encode()).hexdigest()))
+    return set(seen)
+
+
+def test_repeats(spark, docs, rows, empty, monkeypatch):
+    for k in (20, 6):
+        got = substring.removal_report(docs, k=k).collect()
+        assert {tuple(x[c] for c in ("doc_id", "n_words", "n_removed", "kept_sha256")) for x in got} == removed(rows, k)
+    assert substring.removal_report(empty).count() == 0
+    monkeypatch.setattr(substring, "GROUP_ROWS", 3)  # split buckets, merged by window
+    got = substring.removal_report(docs, k=20).collect()
+    assert {tuple(x[c] for c in ("doc_id", "n_words", "n_removed", "kept_sha256")) for x in got} == removed(rows, 20)
+
+
+def test_repeated_rows(spark):
+    t = " ".join(f"w{i}" for i in range(30))
+    got = substring.removal_report(frame(spark, [(1, t), (1, t), (2, t)]), k=20).collect()
+    assert sorted((x["doc_id"], x["n_removed"]) for x in got) == [(1, 0), (1, 0), (2, 30)]
+
+
+# op10
+
+
+def test_neighbours(spark):
+    r = np.random.default_rng(4)
+    x = r.standard_normal((400, 16)).astype(np.float32)
+    x[50:120] = x[50]  # copies
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1050, [0.0] * 16), (1100, [float("nan")] * 16), (1150, [1.0, None] * 8), (1200, [float("inf")] * 16), (1250, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash")).withColumn("score", F.lit(0)).withColumn("h", F.lit(0))
+    got = defaultdict(list)
+    for y in ann.nearest(df, F.col("vec_id") % 50 == 0).collect():
+        got[y["query_id"]].append((y["rank"], y["vec_id"], y["score"]))
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    hit = 0
+    assert set(got) == set(range(0, 400, 50))
+    for q, found in got.items():
+        s = u @ u[q]
+        want = sorted((i for i in range(400) if i != q), key=lambda i: (-round(s[i], 12), i))[:5]
+        found.sort()
+        assert [f[0] for f in found] == list(range(1, len(found) + 1)) and all(abs(f[2] - s[f[1]]) < 1e-12 for f in found)
+        hit += len({f[1] for f in found} & set(want))
+        if q in (50, 100):
+            assert [f[1] for f in found] == [i for i in range(50, 57) if i != q][:5]
+    assert hit >= 0.9 * 40
+    assert ann.nearest(df.where("false"), F.lit(True)).count() == 0
+    few = ann.nearest(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).collect()
+    assert len(few) <= 2
+
+
+def test_probe_order():
+    sets = ann.probe_sets(4, 20)
+    assert sets[0] == (0,) and len(set(sets)) == 20 and all(not ({x, 7 - x} <= set(s)) for s in sets for x in s)
