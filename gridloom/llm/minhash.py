@@ -4,8 +4,10 @@
 2. Each class has ``BANDS * ROWS`` minima of universal hashes. Classes that share a band meet in a bucket.
 3. Every member of a bucket is compared with the bucket's least member: signatures first, then full sets. That is
    linear in the bucket, and joins a group of near copies at once.
-4. Only members of a bucket that are still in different components are then compared with each other, so no link
-   is lost to step 3's economy and a group of copies never yields all its pairs.
+4. Members of buckets that still hold several components may have links that step 3 did not try. For these, exact
+   prefix filtering finds every pair of different components that can reach the similarity: with all sets in one
+   order, rare shingles first, such a pair's first common shingle stands so early in both that enough can follow.
+   A text with too many shingles of its own meets nobody, so a group of near misses does not yield its pairs.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ BANDS, ROWS = 32, 5
 #: Signatures agree in fewer than this share of their minima: rejected without a look at the sets. At similarity
 #: 0.8 the share is 0.8 on average with a standard deviation of 0.032, so 0.62 is more than 5 deviations off.
 SIGNATURE_FLOOR = 0.62
+#: Counters of the sketch that orders shingles, as a power of 2: 1 MB on each worker.
+SKETCH_BITS = 18
 
 _rng = np.random.Generator(np.random.PCG64(99991))
 _A = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -154,16 +158,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
         return F.greatest(x, y) * percent <= F.least(x, y) * 100
 
     first = stage(met.where("node <> pivot").where(close("n", "pn")).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
-    links = _verified(first, reps, src, k, percent)
+    likely = _likely(first, reps)
+    links = _confirmed(likely, _full_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")), reps, src, k), percent)
     comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    # Buckets whose members are not all joined yet: members of different components are compared with each other.
+    # Buckets whose members are not all joined yet
     member = met.select("key", "node", "n").join(comps.select(F.col("u").alias("node"), F.col("v").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
     mixed = member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("key")
-    open_ = stage(member.join(mixed, "key", "left_semi"), "open")
-    x, y = open_.select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac")), open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
-    cross = x.join(y, "key").where("a < b and ac <> bc").where(close("an", "bn")).select("a", "b").distinct()
+    open_ = member.join(mixed, "key", "left_semi").select("node", "n", "c").distinct()
+    many = comps.groupBy("v").agg(F.count("*").alias("many")).withColumnRenamed("v", "c")
+    open_ = stage(open_.join(many, "c", "left").withColumn("many", F.coalesce("many", F.lit(0))), "open")
+    sets = _full_sets(open_.select("node"), reps, src, k)
+    cross = _prefix_pairs(sets.join(open_, "node").select("node", "n", "c", "many", "set"), percent)
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _verified(cross.join(tested, ["a", "b"], "left_anti"), reps, src, k, percent)
+    more = _confirmed(_likely(cross.join(tested, ["a", "b"], "left_anti"), reps), sets, percent)
     # The links as ids; classes that hold rows of one id are one node.
     name = reps.select("node", "id")
     ends = links.union(more).join(name.select(F.col("node").alias("a"), F.col("id").alias("u")), "a").join(name.select(F.col("node").alias("b"), F.col("id").alias("v")), "b").select("u", "v")
@@ -175,13 +182,77 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), (F.col("id") == F.col("root")).alias("kept"))
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs that pass on signatures and then on full sets, as a staged table."""
+def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree well enough, as a staged table."""
     sig = reps.select("node", "sig")
     with_sigs = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
-    likely = stage(with_sigs.mapInArrow(_signs_alike, "a long, b long"), "likely")
-    need = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct().join(reps.select("node", "id", "fp"), "node")
+    return stage(with_sigs.mapInArrow(_signs_alike, "a long, b long"), "likely")
+
+
+def _full_sets(nodes: DataFrame, reps: DataFrame, src: DataFrame, k: int) -> DataFrame:
+    """``(node, set)`` of some classes, from the texts, as a staged table."""
+    need = nodes.distinct().join(reps.select("node", "id", "fp"), "node")
     sets = src.join(need.select("id").distinct(), "id", "left_semi").select(src.columns[1]).mapInArrow(_sets(k), "fp binary, set binary")
-    named = stage(need.select("node", "fp").join(sets, "fp").dropDuplicates(["node"]).select("node", "set"), "sets")
-    full = likely.join(named.select(F.col("node").alias("a"), F.col("set").alias("xa")), "a").join(named.select(F.col("node").alias("b"), F.col("set").alias("xb")), "b").select("a", "b", "xa", "xb")
+    return stage(need.select("node", "fp").join(sets, "fp").dropDuplicates(["node"]).select("node", "set"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that pass on their full sets, as a staged table."""
+    full = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("xb")), "b").select("a", "b", "xa", "xb")
     return stage(full.mapInArrow(_alike(percent), "a long, b long"), "links")
+
+
+def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components ``c`` that can have the similarity, from ``(node, n, c, many, set)``.
+
+    The order is by a sketch of how many of these sets have a shingle, whose size is bounded: ``2**SKETCH_BITS``
+    counters. Any order is exact; the sketch only makes shingles of single texts come first.
+    """
+    bits = SKETCH_BITS
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, dtype=np.int64)
+        for b in batches:
+            for x in b.column(0):
+                np.add.at(total, (np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(64 - bits)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 1 << 16):
+            part = at[lo : lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["slot", "n"])
+
+    sums = rows.select("set").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    sketch = np.zeros(1 << bits, dtype=np.int32)
+    sketch[sums.column("slot").to_numpy()] = np.minimum(sums.column("n").to_numpy(), 2**31 - 1)
+    shared = rows.sparkSession.sparkContext.broadcast(sketch)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                keep, sizes = [], []
+                for x in b.column(4):
+                    h = np.frombuffer(x.as_buffer(), np.uint64)
+                    h = h[np.lexsort((h, count[(h >> np.uint64(64 - bits)).astype(np.int64)]))]
+                    keep.append(h[: len(h) - -(-percent * len(h) // 100) + 1])
+                    sizes.append(len(keep[-1]))
+                row = np.repeat(np.arange(b.num_rows), sizes)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+                cols = [b.column(i).take(pa.array(row)) for i in range(4)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keep).view(np.int64)), *cols, pa.array(place)], names=["h", "node", "n", "c", "many", "i"])
+
+    post = stage(rows.mapInArrow(prefixes, "h long, node long, n long, c long, many long, i long"), "prefixes")
+    # Of the components that have a shingle, the largest is not compared with itself.
+    met = post.groupBy("h").agg(F.min("n").alias("least"), F.max(F.struct("many", "c")).alias("top"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h", "least", F.col("top.c").alias("top"))
+
+    def need(x, y):
+        """Common shingles that sets of x and y shingles must have."""
+        return F.ceil(percent * (x + y) / (100 + percent))
+
+    n, i = F.col("n"), F.col("i")
+    left = post.join(met, "h").where("c <> top").where(n - i + 1 >= need(n, F.greatest(F.ceil(percent * n / 100), F.col("least"))))
+    left = left.select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("i").alias("ai"))
+    right = post.select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"), F.col("i").alias("bi"))
+    an, bn = F.col("an"), F.col("bn")
+    found = left.join(right, (left["h"] == right["h"]) & (F.col("ac") != F.col("bc")) & (F.least(an - F.col("ai"), bn - F.col("bi")) + 1 >= need(an, bn)))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
