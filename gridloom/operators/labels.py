@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import crosswalk
@@ -38,8 +38,9 @@ def accept(windows: DataFrame, areas: DataFrame, window_area: float, min_percent
 def class_fractions(clipped: DataFrame) -> DataFrame:
     """Each class's share of a window's labelled area. Features without a class stay in the divisor only."""
     per = clipped.groupBy("win_id", "class_name").agg(F.sum("area").alias("area"))
-    total = clipped.groupBy("win_id").agg(F.sum("area").alias("total"))
-    return per.join(total, "win_id").where("class_name is not null").select("win_id", "class_name", (F.col("area") / F.col("total")).alias("fraction"))
+    # A row for each class of a window: the total is a sum over these, so features are joined and shuffled once.
+    per = per.withColumn("total", F.sum("area").over(Window.partitionBy("win_id")))
+    return per.where("class_name is not null").select("win_id", "class_name", (F.col("area") / F.col("total")).alias("fraction"))
 
 
 def fraction_map(fractions: DataFrame) -> DataFrame:
