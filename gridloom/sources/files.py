@@ -213,6 +213,60 @@ def tensors(spark: SparkSession, root: str) -> DataFrame:
     return _contents(spark, root, ".npz").mapInPandas(run, "base string, classes int, height int, width int, t array<double>")
 
 
+def png_grey(b: bytes) -> np.ndarray:
+    """Grey values 0 to 255 of an 8-bit, non-interlaced PNG; colours are weighed by luminance."""
+    if b[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG file")
+    place, body, head = 8, b"", ()
+    while place < len(b):
+        size, kind = struct.unpack_from(">I4s", b, place)
+        if kind == b"IHDR":
+            head = struct.unpack_from(">IIBBBBB", b, place + 8)
+        elif kind == b"IDAT":
+            body += b[place + 8 : place + 8 + size]
+        place += 12 + size
+    w, h, depth, colour, _, _, interlace = head
+    if depth != 8 or interlace or colour not in (0, 2, 4, 6):
+        raise ValueError("only 8-bit PNG files without palette or interlace are read")
+    n = {0: 1, 2: 3, 4: 2, 6: 4}[colour]
+    raw = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * n)
+    out = np.zeros((h, w * n), dtype=np.uint8)
+    up = np.zeros(w * n, dtype=np.int64)
+    for r in range(h):
+        line = raw[r, 1:].astype(np.int64)
+        how = raw[r, 0]
+        if how == 2:
+            line = (line + up) & 255
+        elif how in (1, 3, 4):
+            for i in range(w * n):
+                left = line[i - n] if i >= n else 0
+                if how == 1:
+                    guess = left
+                elif how == 3:
+                    guess = (left + up[i]) // 2
+                else:
+                    corner = up[i - n] if i >= n else 0
+                    near = [abs(left + up[i] - corner - x) for x in (left, up[i], corner)]
+                    guess = (left, up[i], corner)[near.index(min(near))]
+                line[i] = (line[i] + guess) & 255
+        out[r] = up = line
+    px = out.reshape(h, w, n).astype(float)
+    return px[..., 0] if n < 3 else px[..., :3] @ np.array([0.2125, 0.7154, 0.0721])
+
+
+def strips(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, r, c, v)`` of grey image strips (PNG) under a folder; columns run along the track."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path, content in zip(b["path"], b["content"]):
+                a = png_grey(content)
+                for r in range(0, len(a), ROWS):
+                    row, col = np.indices(a[r : r + ROWS].shape)
+                    yield pd.DataFrame({"path": path, "r": row.ravel() + r, "c": col.ravel(), "v": a[r : r + ROWS].ravel()})
+
+    return _contents(spark, root, ".png").mapInPandas(run, "path string, r long, c long, v double")
+
+
 def config(spark: SparkSession, root: str) -> DataFrame:
     """The first settings file of a folder as one JSON text: ``config.json``, else the first of ``config/*.json``."""
     found = discover(spark, root, ".json").select("path", F.regexp_extract("path", r"(/config\.json|/config/[^/]*\.json)$", 1).alias("name")).where("name <> ''")

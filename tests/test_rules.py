@@ -286,3 +286,43 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("cover").count() == 4
+
+
+def png(a, how):
+    """A grey PNG with one filter for all lines."""
+    import struct
+    import zlib
+
+    lines, up = b"", np.zeros(a.shape[1], dtype=int)
+    for line in a.astype(int):
+        left = np.concatenate([[0], line[:-1]])
+        corner = np.concatenate([[0], up[:-1]])
+        p = left + up - corner
+        near = np.stack([abs(p - left), abs(p - up), abs(p - corner)])
+        paeth = np.stack([left, up, corner])[near.argmin(axis=0), np.arange(len(line))]
+        guess = (0 * line, left, up, (left + up) // 2, paeth)[how]
+        lines += bytes([how]) + bytes(((line - guess) & 255).astype(np.uint8))
+        up = line
+    chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + b"\0" * 4
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", a.shape[1], a.shape[0], 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def test_strips_and_tiles(spark, tmp_path):
+    from gridloom.sources import sinks
+
+    a = np.random.default_rng(1).integers(0, 256, (6, 9)).astype(np.uint8)
+    for how in range(5):
+        assert (files.png_grey(png(a, how)) == a).all()
+    (tmp_path / "s.png").write_bytes(png(a, 4))
+    px = files.strips(spark, str(tmp_path))
+    assert {(r["r"], r["c"]): r["v"] for r in px.collect()} == {(r, c): float(a[r, c]) for r, c in np.ndindex(a.shape)}
+    tiles = spark.createDataFrame([("t", "x", 3, 4, 4.0, 3.0, 1.0, 1.0)], "name string, raster_id string, wr long, wc long, x_min double, y_max double, res_x double, res_y double")
+    out = sinks.tile_images(px.select(F.lit("x").alias("raster_id"), F.lit(1).alias("band"), "r", "c", "v"), tiles, 4).first()
+    want = np.zeros((4, 4), dtype=np.uint8)
+    want[:3] = a[3:6, 4:8]
+    assert (files.tiff_array(bytes(out["content"]))[0] == want).all()
+    sinks.manifest(tiles, str(tmp_path / "m"), "raster_id")
+    assert spark.read.parquet(str(tmp_path / "m")).where("raster_id = 'x'").count() == 1
+    sinks.stage_csv(tiles, str(tmp_path / "c"))
+    assert spark.read.csv(str(tmp_path / "c"), header=True).columns == tiles.columns
+    assert sinks.colour_table({1: "#FF0010"}) == [(1, 255, 0, 16)]
