@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .staging import drop_staged, stage
+from .staging import stage
 
 #: Words of a minimiser.
 M = 5
 #: Packed strings of one sorted group at most, about; larger buckets are split.
-GROUP_ROWS = 4_000
-GROUP_BYTES = 4 << 20
+GROUP_ROWS = 2_000
+GROUP_BYTES = 1 << 20
 _SECOND = 0xB5297A4D3F84D5A5 | 1
 
 
@@ -67,7 +67,7 @@ def _survey(k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, words in tk.slice_words(b.column(2), lower=False, limit=4 << 20):
+            for lo, hi, words in tk.slice_words(b.column(2), lower=False):
                 row, start, count, anchor = super_kmers(words, k)
                 cut = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32))
                 part = b.slice(lo, hi - lo)
@@ -76,10 +76,9 @@ def _survey(k: int):
                     [
                         part.column(0), part.column(1), pa.array(np.diff(words.bounds), pa.int64()), pa.array(sha),
                         pa.ListArray.from_arrays(cut, pa.array(anchor.view(np.int64))),
-                        pa.ListArray.from_arrays(cut, pa.array(start.astype(np.int32))),
-                        pa.ListArray.from_arrays(cut, pa.array(count.astype(np.int32))),
+                        pa.ListArray.from_arrays(cut, pa.array(start << 16 | count)),
                     ],
-                    names=["u", "id", "n_words", "sha", "anchors", "starts", "counts"],
+                    names=["u", "id", "n_words", "sha", "anchors", "spans"],
                 )
 
     return run
@@ -89,10 +88,10 @@ def _pack(k: int):
     """The packed string of each super-k-mer that is to travel."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "part", "parts", "id", "u", "start", "packed"]
+        names = ["anchor", "part", "split", "id", "u", "start", "packed"]
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
         for b in batches:
@@ -101,11 +100,12 @@ def _pack(k: int):
             for i in range(b.num_rows):
                 u, id_, text, runs = (b.column(c)[i].as_py() for c in range(4))
                 words = (text or "").encode().split()
-                for r in runs:
-                    packed = b" ".join(words[r["start"] : r["start"] + r["count"] + k - 1])
-                    rows.append((r["anchor"], r["part"], r["parts"], id_, u, r["start"], packed))
+                for anchor, span, part in {(r["anchor"], r["span"], r["part"]) for r in runs}:
+                    start, count = span >> 16, span & 0xFFFF
+                    packed = b" ".join(words[start : start + count + k - 1])
+                    rows.append((anchor, part >> 1, bool(part & 1), id_, u, start, packed))
                     size += len(packed) + 40
-                if size > 4 << 20:
+                if size > 2 << 20:
                     yield batch(rows)
                     rows, size = [], 0
             if rows:
@@ -120,7 +120,7 @@ def _sort_bucket(k: int):
 
     def found(part: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, us, starts = (part.column(c).to_numpy() for c in ("id", "u", "start"))
-        split = part.column("parts").to_numpy() > 1
+        split = np.asarray(part.column("split"))
         data, offsets = tk.text_rows(part.column("packed").combine_chunks().cast(pa.large_binary()).view(pa.large_string()))
         words = tk.Words(data, offsets, lower=False)
         h = words.hashes()
@@ -203,16 +203,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
     different texts of one id go by a hash of the text. Null text: no words. Ids must not be null.
     """
     src = docs.select(F.xxhash64(id_col, text).alias("u"), F.col(id_col).cast("long").alias("id"), text)
-    survey = stage(src.mapInArrow(_survey(k), "u long, id long, n_words long, sha string, anchors array<long>, starts array<int>, counts array<int>"), "survey")
-    texts = survey.select("u", "anchors", "starts", "counts")
+    survey = stage(src.mapInArrow(_survey(k), "u long, id long, n_words long, sha string, anchors array<long>, spans array<long>"), "survey")
     repeated = survey.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    runs = texts.select("u", F.explode(F.arrays_zip("anchors", "starts", "counts")).alias("r")).select(F.col("r.anchors").alias("anchor"), "u", F.col("r.starts").alias("start"), F.col("r.counts").alias("count"))
-    parts = F.ceil(F.col("n") / GROUP_ROWS).cast("int")
-    met = runs.join(repeated, "anchor").select("u", F.struct("anchor", F.pmod("u", parts).cast("int").alias("part"), parts.alias("parts"), "start", "count").alias("r"))
+    runs = survey.select("u", F.explode(F.arrays_zip("anchors", "spans")).alias("r")).select(F.col("r.anchors").alias("anchor"), "u", F.col("r.spans").alias("span"))
+    parts = F.ceil(F.col("n") / GROUP_ROWS)
+    part = (F.pmod("u", parts) * 2 + (parts > 1).cast("long")).cast("int").alias("part")
+    met = runs.join(repeated, "anchor").select("u", F.struct("anchor", "span", part).alias("r"))
     # A text's own super-k-mers: as many as it has words at most.
-    wanted = met.groupBy("u").agg(F.array_distinct(F.collect_list("r")).alias("runs"))
+    wanted = met.groupBy("u").agg(F.collect_list("r").alias("runs"))
     held = stage(src.join(wanted, "u").dropDuplicates(["u"]), "candidates")
-    packed = held.mapInArrow(_pack(k), "anchor long, part int, parts int, id long, u long, start int, packed binary")
+    packed = held.mapInArrow(_pack(k), "anchor long, part int, split boolean, id long, u long, start int, packed binary")
     dealt = packed.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
     places = stage(dealt.mapInArrow(_sort_bucket(k), "kind int, w1 long, w2 long, id long, u long, start int"), "places")
     merged = places.where("kind = 0").withColumn("n", F.row_number().over(Window.partitionBy("w1", "w2").orderBy("id", "u", "start"))).where("n > 1")
