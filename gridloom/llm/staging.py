@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the session names no folder (tests on one machine).
 LOCAL_DEFAULT = "/tmp/checkpoints"
+#: Makes Spark remove an execution's shuffle files when it ends; what it wrote is read from the table from then on.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,7 +29,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
