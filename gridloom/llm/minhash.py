@@ -151,7 +151,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     # A class is known by the hash of its set; the row with its least id brings the signature.
     reps = stage(all_rows.join(classes.select("fp", F.col("rep").alias("id")), ["fp", "id"], "left_semi").dropDuplicates(["fp"]).withColumn("node", F.xxhash64("fp")), "reps")
     banded = reps.select("node", "id", "n", F.posexplode("bands").alias("band", "b")).select("node", "id", "n", F.xxhash64("band", "b").alias("key"))
-    pivots = banded.groupBy("key").agg(F.min(F.struct("id", "node", "n")).alias("p"), F.count("*").alias("m")).where("m > 1").select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"))
+    # Written first: a join with a table, not with an aggregate of the same key, lets Spark split a large bucket.
+    pivots = stage(banded.groupBy("key").agg(F.min(F.struct("id", "node", "n")).alias("p"), F.count("*").alias("m")).where("m > 1").select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn")), "pivots")
     met = stage(banded.join(pivots, "key"), "buckets")
 
     def close(x: str, y: str):
@@ -163,7 +164,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     # Buckets whose members are not all joined yet
     member = met.select("key", "node", "n").join(comps.select(F.col("u").alias("node"), F.col("v").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
-    mixed = member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("key")
+    mixed = stage(member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("key"), "mixed")
     open_ = member.join(mixed, "key", "left_semi").select("node", "n", "c").distinct()
     many = comps.groupBy("v").agg(F.count("*").alias("many")).withColumnRenamed("v", "c")
     open_ = stage(open_.join(many, "c", "left").withColumn("many", F.coalesce("many", F.lit(0))), "open")

@@ -204,7 +204,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
     """
     src = docs.select(F.xxhash64(id_col, text).alias("u"), F.col(id_col).cast("long").alias("id"), text)
     survey = stage(src.mapInArrow(_survey(k), "u long, id long, n_words long, sha string, anchors array<long>, spans array<long>"), "survey")
-    repeated = survey.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    # Written first: a join with a table, not with an aggregate of the same key, lets Spark split a common anchor.
+    repeated = stage(survey.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
     runs = survey.select("u", F.explode(F.arrays_zip("anchors", "spans")).alias("r")).select(F.col("r.anchors").alias("anchor"), "u", F.col("r.spans").alias("span"))
     parts = F.ceil(F.col("n") / GROUP_ROWS)
     part = (F.pmod("u", parts) * 2 + (parts > 1).cast("long")).cast("int").alias("part")
