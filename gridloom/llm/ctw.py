@@ -27,7 +27,9 @@ DEPTH = 4
 END = 0xFF
 _PAIR = 8 * (DEPTH - 1)  # bits of a gram below its last two context bytes
 #: Bytes of an input file whose texts share one set of answers, about.
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 16 << 20
+#: Bytes of text handled at once here.
+_SLICE = 1 << 19
 #: Fixed point for summing log probabilities in any order with one result.
 _FIXED = float(1 << 20)
 _HALF = np.log(0.5)
@@ -83,24 +85,24 @@ class _Tally:
     def __init__(self):
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
-        self.size = 0
+        self.size, self.distinct = 0, 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
-        self.counts.append(counts)
+        self.counts.append(counts.astype(np.int32))
         self.size += len(keys)
-        if self.size > 2_000_000 and len(self.keys) > 1:
+        if self.size > max(400_000, self.distinct // 2) and len(self.keys) > 1:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int32)
         keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
         keys, counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
-        self.keys, self.counts, self.size = [keys], [counts], len(keys) // 2
+        self.keys, self.counts, self.size, self.distinct = [keys], [counts], 0, len(keys)
         return keys, counts
 
 
@@ -130,7 +132,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from flush()
                 tally, tokens, texts = (_Tally(), _Tally()), 0, 0
             now = int(block[x])
-            for lo, hi in tk.slices(offsets[x : y + 1]):
+            for lo, hi in tk.slices(offsets[x : y + 1], _SLICE):
                 lo, hi = lo + x, hi + x
                 part = data[offsets[lo] : offsets[hi]]
                 at = offsets[lo : hi + 1] - offsets[lo]
@@ -321,7 +323,7 @@ def score(docs: DataFrame, trained: Column, *, id_col: str = "doc_id", text: str
                     continue
                 data, offsets = tk.text_rows(part.column(5))
                 use = part.column(6).to_numpy(zero_copy_only=False)
-                for lo, hi in tk.slices(offsets):
+                for lo, hi in tk.slices(offsets, _SLICE):
                     at = offsets[lo : hi + 1] - offsets[lo]
                     text_part = data[offsets[lo] : offsets[hi]]
                     g, bounds = grams(text_part, at)
