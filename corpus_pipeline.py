@@ -43,7 +43,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mix(docs, cycle_weights((5, 2, 1)), share=1.5, cap=2.0).select("doc_id", "repeats", "partial").where("repeats > 0 or partial > 0")
     both = docs.join(taken, "doc_id")
     whole = both.where("repeats > 0").withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("repeats").cast("int"))))
-    words = F.expr(r"regexp_extract(text, concat('^[\\x20\\x09-\\x0D]*+(?:[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]*+){', cast(partial as string), '}'), 0)")
+    # Each word with the white space around it is a match of its own: one pattern over them all recurses a level a word.
+    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"), F.lit(0)), F.lit(1), F.col("partial").cast("int")), "")
     part = both.where("partial > 0").withColumn("text", words).withColumn("n_chars", F.length("text").cast("long"))
     return whole.select(*COLUMNS).union(part.select(*COLUMNS))
 

@@ -72,3 +72,12 @@ def test_stages(spark, sf_dir):
 
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_mixing_cuts_a_long_boundary_document(spark):
+    text = " \t" + "word  and\n" * 50_000
+    docs = spark.createDataFrame([(1, text, "en", "a", len(text)), (2, "few words " * 500, "en", "b", 5000)], "doc_id long, text string, lang string, source string, n_chars long")
+    taken = {r["doc_id"]: r for r in mixing.mix(docs, mixing.cycle_weights((5, 2, 1)), share=1.5, cap=2.0).where("partial > 0").collect()}
+    got = [r for r in corpus_pipeline.mixing(spark, docs, "").where("doc_id = 1").collect() if r["text"] != text]
+    n = taken[1]["partial"]
+    assert n > 10_000 and len(got) == 1 and len(words(got[0]["text"])) == n and text.startswith(got[0]["text"]) and got[0]["n_chars"] == len(got[0]["text"])
