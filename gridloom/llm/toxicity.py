@@ -3,7 +3,8 @@
 The kernel of two strings sums, over all subsequences of three letters with gaps (spanning at most ``SPAN``
 letters), the product of their weights ``DECAY ** span``; so a word with letters inserted or left out keeps much of
 its likeness. Words are folded first: case, accents, look-alike digits and signs; other signs inside a word are
-dropped, and runs of single letters are read as one word too.
+dropped, and runs of single letters are read as one word too. A letter is a code point of any script. Words of fewer
+than three letters have no kernel value.
 
 Landmarks are words and stems that go with the label in a bounded sample of labelled texts. A text's kernel value
 with a landmark is the largest among its words, sharpened by a power; with the kernel matrix of the landmarks this
@@ -12,9 +13,12 @@ gives the Nystroem features, on which a linear support vector machine is trained
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,23 +39,48 @@ CANDIDATES = 2_000
 _STEMS = range(4, 13)
 _KNOWN_BITS = 21
 
-_LETTER = np.zeros(256, dtype=np.uint8)
+#: Runs of scripts that put no blanks between words: a stem may begin at any letter there.
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U000323af]+")
+_STEMS_UNSPACED = range(3, 9)
+
+_LETTER = np.zeros(256, dtype=np.uint32)  # ASCII; what is longer than a byte is folded by code point
 for _i in range(26):
-    _LETTER[ord("a") + _i] = _LETTER[ord("A") + _i] = _i + 1
+    _LETTER[ord("a") + _i] = _LETTER[ord("A") + _i] = ord("a") + _i
 for _c, _like in zip("0134578@$", "oieastbas"):
-    _LETTER[ord(_c)] = ord(_like) - 96
-_LETTER[0x80:0xC0] = 27 + (np.arange(0x80, 0xC0) & 3)  # other scripts: letters of their own, coarsely
-_ACCENTED = np.zeros(256, dtype=np.uint8)
-for _b, _like in zip(range(0x80, 0xC0), "aaaaaaaceeeeiiiidnooooo ouuuuypsaaaaaaaceeeeiiiidnooooo ouuuuypy"):
-    _ACCENTED[_b] = 0 if _like == " " else ord(_like) - 96
+    _LETTER[ord(_c)] = ord(_like)
+_ACCENTED = np.array([0 if c == " " else ord(c) for c in "aaaaaaaceeeeiiiidnooooo ouuuuypsaaaaaaaceeeeiiiidnooooo ouuuuypy"], dtype=np.uint32)  # from U+00C0
 _PAIRS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
+@cache
+def _folded() -> np.ndarray:
+    """The letter of each code point beyond ASCII: without case and accents; 0 for what is no letter."""
+    table = np.zeros(0x110000, dtype=np.uint32)
+    for code in range(0x80, 0x34000):  # no letters are assigned beyond
+        c = chr(code)
+        if unicodedata.category(c)[0] not in "LM" or unicodedata.combining(c):
+            continue
+        c = c.lower() if len(c.lower()) == 1 else c
+        parts = [x for x in unicodedata.normalize("NFKD", c.casefold()) if not unicodedata.combining(x)]
+        like = ord(parts[0]) if len(parts) == 1 else ord(c)
+        table[code] = _LETTER[like] if like < 0x80 else like
+    latin = (table >= 0xC0) & (table < 0x100)
+    table[latin] = _ACCENTED[table[latin] - 0xC0]
+    return table
+
+
 def fold(data: np.ndarray) -> np.ndarray:
-    """A letter 1 to 31 for each byte, 0 for those dropped (the first byte of a two-byte letter too)."""
+    """A letter (its code point) for the first byte of each letter, 0 for the other bytes and those dropped."""
     out = _LETTER[data]
-    latin = np.flatnonzero(data[:-1] == 0xC3) + 1
-    out[latin] = _ACCENTED[data[latin]]
+    at = np.flatnonzero(data >= 0xC0)
+    if len(at):
+        lead = data[at].astype(np.int64)
+        more = 1 + (lead >= 0xE0) + (lead >= 0xF0)
+        code = lead & (0x3F >> more)
+        for i in (1, 2, 3):
+            long = np.flatnonzero(more >= i)
+            code[long] = code[long] << 6 | data[at[long] + i] & 0x3F
+        out[at] = _folded()[code]
     return out
 
 
@@ -78,35 +107,57 @@ class Units:
         n = len(self.letters)
         power, inverse = tk._powers(tk._BASE, n + 1)
         total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(tk._BYTE[self.letters] * power[:n], out=total[1:])
+        np.cumsum((tk.mix64(self.letters.astype(np.uint64)) | np.uint64(1)) * power[:n], out=total[1:])
         return tk.mix64((total[self.b] - total[self.a]) * inverse[self.a] ^ (self.b - self.a).astype(np.uint64))
 
 
-def _features(word: np.ndarray) -> np.ndarray:
+def _codes(w: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Three letters, at distances a and b from the first, as one number."""
+    return (w[:-b] << 42) | (w[a : len(w) - b + a] << 21) | w[b:]
+
+
+def _features(word: np.ndarray) -> dict[int, float]:
     """Explicit kernel features of one folded word."""
-    out = np.zeros(1 << 15, dtype=np.float64)
+    out: dict[int, float] = {}
     w = word.astype(np.int64)
     for a, b in _PAIRS:
         if len(w) > b:
-            np.add.at(out, (w[:-b] << 10) | (w[a : len(w) - b + a] << 5) | w[b:], DECAY ** (b + 1))
+            for code in _codes(w, a, b).tolist():
+                out[code] = out.get(code, 0.0) + DECAY ** (b + 1)
     return out
 
 
+def _product(f: dict[int, float], g: dict[int, float]) -> float:
+    return sum(x * g[code] for code, x in f.items() if code in g)
+
+
 def _spell(s: str) -> np.ndarray:
     letters = fold(np.frombuffer(s.encode(), np.uint8))
     return letters[letters > 0]
 
 
+def _letters(s: str) -> np.ndarray:
+    """Of a landmark or stem, which is folded already."""
+    return np.array([ord(c) for c in s], dtype=np.uint32)
+
+
 class Landmarks:
-    """Kernel values of words with fixed strings, each scaled to 1 with itself and held to 1."""
+    """Kernel values of words with fixed folded strings, each scaled to 1 with itself and held to 1."""
 
     def __init__(self, strings: list[str]):
         self.n = len(strings)
-        f = np.stack([_features(_spell(s)) for s in strings]) if strings else np.zeros((0, 1 << 15))
-        self.table = np.ascontiguousarray((f / (f * f).sum(axis=1, keepdims=True)).T.astype(np.float32)) if strings else np.zeros((1 << 15, 0), np.float32)
-        self.used = self.table.any(axis=1)
+        found = [_features(_letters(s)) for s in strings]
+        self.codes = np.array(sorted({c for f in found for c in f}), dtype=np.int64)
+        self.table = np.zeros((len(self.codes), self.n), dtype=np.float32)
+        for i, f in enumerate(found):
+            self.table[np.searchsorted(self.codes, np.array(list(f), dtype=np.int64)), i] = np.array(list(f.values())) / _product(f, f)
+        self.used = np.zeros(1 << 18, dtype=bool)
+        self.used[self._slot(self.codes)] = True
         self._clear()
 
+    def _slot(self, code: np.ndarray) -> np.ndarray:
+        return (code * np.int64(tk._BASE - (1 << 64))) >> 46 & (1 << 18) - 1
+
     def _clear(self) -> None:
         self.known = tk.Known(_KNOWN_BITS)
         self.hits = np.zeros((1, self.n), dtype=np.float32)  # words without a hit share row 0
@@ -121,12 +172,16 @@ class Landmarks:
         for x, y in _PAIRS:
             if len(flat) <= y:
                 continue
-            code = (flat[:-y] << 10) | (flat[x : len(flat) - y + x] << 5) | flat[y:]
-            at = np.flatnonzero(self.used[code] & (left[:-y] > y))
+            code = _codes(flat, x, y)
+            at = np.flatnonzero(self.used[self._slot(code)] & (left[:-y] > y))
+            number = np.searchsorted(self.codes, code[at])
+            same = number < len(self.codes)
+            same[same] = self.codes[number[same]] == code[at[same]]
+            at, number = at[same], number[same]
             if len(at):
                 w = word[at]
                 begin = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-                out[w[begin]] += np.add.reduceat(self.table[code[at]], begin, axis=0) * np.float32(DECAY ** (y + 1))
+                out[w[begin]] += np.add.reduceat(self.table[number], begin, axis=0) * np.float32(DECAY ** (y + 1))
         return np.minimum(out, 1)
 
     def rows(self, units: Units, rows: int) -> np.ndarray:
@@ -239,36 +294,37 @@ def choose_landmarks(stems: list[tuple[str, int, int]], toxic: int, clean: int,
 
     ranked = sorted(((round(strength(t, n), 6), len(s), s) for s, t, n in stems if t / toxic > 4 * n / clean), key=lambda x: (-x[0], -x[1], x[2]))
     out: list[str] = []
-    found: list[np.ndarray] = []
+    found: list[tuple[dict[int, float], float]] = []
     for _, _, s in ranked[:CANDIDATES]:
-        f = _features(_spell(s))
-        norm = (f * f).sum()
-        if norm and all((f @ g) / min(norm, (g * g).sum()) < 0.7 for g in found):
+        f = _features(_letters(s))
+        norm = _product(f, f)
+        if norm and all(_product(f, g) / min(norm, other) < 0.7 for g, other in found):
             out.append(s)
-            found.append(f)
+            found.append((f, norm))
             if len(out) == most:
                 break
     return out
 
 
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many texts of each label have a word that begins with each stem."""
-    alphabet = np.array([""] + [chr(96 + i) for i in range(1, 32)])
+    """How many texts of each label have a word that begins with each stem, or, in a script without blanks, holds it."""
     count: tuple[Counter, Counter] = (Counter(), Counter())
     for b in batches:
         y = b.column(1).to_pylist()
         for lo, hi, words in tk.slice_words(b.column(0), lower=False):
             units = Units(words)
-            spelled = "".join(alphabet[units.letters].tolist())
+            spelled = units.letters.astype("<u4").tobytes().decode("utf-32-le")
             order = np.argsort(units.row, kind="stable")
             cut = np.searchsorted(units.row[order], np.arange(hi - lo + 1))
             a, b_ = units.a.tolist(), units.b.tolist()
             for i in range(hi - lo):
                 mine = {spelled[a[j] : b_[j]] for j in order[cut[i] : cut[i + 1]].tolist()}
                 stems = {w[:n] for w in mine for n in _STEMS if len(w) >= n}
+                runs = {run for w in mine for run in _UNSPACED.findall(w)}
+                stems |= {run[at : at + n] for run in runs for n in _STEMS_UNSPACED for at in range(len(run) - n + 1)}
                 count[1 if y[lo + i] else 0].update(stems)
-        if sum(map(len, count)) > 500_000:
-            yield _counted(count)
+                if sum(map(len, count)) > 500_000:
+                    yield _counted(count)
     if any(count):
         yield _counted(count)
 
@@ -317,7 +373,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
     got.sort(key=lambda r: (r["id"], r["f"]))
     x, y = np.array([r["f"] for r in got]), np.array([r["y"] for r in got])
     own = Landmarks(list(marks))
-    spelled = [_spell(s) for s in marks]
+    spelled = [_letters(s) for s in marks]
     ends = np.cumsum([len(s) for s in spelled])
     gram = own.values(np.concatenate(spelled), ends - [len(s) for s in spelled], ends).astype(np.float64)
     gram = np.where(gram >= FLOOR, gram, 0) ** POWER

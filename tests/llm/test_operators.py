@@ -250,6 +250,24 @@ def test_toxicity(spark, docs, rows, empty):
 # op5
 
 
+def test_toxicity_in_other_scripts(spark):
+    r = random.Random(9)
+    scripts = [
+        (" ", ["стол", "река", "окно", "зима", "бумага", "число"], "Придурок", ["придурок", "при-дур.ок", "приидурок", "п р и д у р о к"]),
+        (" ", ["τραπέζι", "ποτάμι", "παράθυρο", "κήπος"], "Ηλίθιος", ["ηλιθιος", "ηλίί-θιος"]),
+        ("", ["机の上に", "川が流れ", "窓を開け", "冬の音楽"], "くそったれ", ["くそったれ", "くそっ・たれ", "くそっったれ"]),
+        (" ", ["stół", "rzeka", "okno", "zima"], "łżżęęłż", ["łżż.ęęłż"]),
+    ]
+    text = lambda k, bad="": scripts[k][0].join([r.choice(scripts[k][1]) for _ in range(10)] + [bad] + [r.choice(scripts[k][1]) for _ in range(10)])
+    data = [(i, text(i % 4, scripts[i % 4][2] if i // 4 % 2 == 0 else "")) for i in range(320)]
+    labels = spark.createDataFrame([(i, int(i // 4 % 2 == 0)) for i in range(320)], "doc_id long, toxic int")
+    model = toxicity.train(frame(spark, data), labels)
+    tests = [(1000 + i, text(k, bad)) for i, (k, bad) in enumerate((k, bad) for k, s in enumerate(scripts) for bad in s[3])] + [(2000 + k, text(k)) for k in range(4)]
+    got = {x["doc_id"]: x["score"] for x in toxicity.score_texts(frame(spark, tests), model).collect()}
+    assert all((s >= 0.5) == (i < 2000) for i, s in got.items()), got
+    assert toxicity._spell("ЁЖ ΣΊΣΥΦΟΣ ｂａｄ ẞß 🙂").tolist() == [ord(c) for c in "ежσισυφοσbadss"]
+
+
 def test_tokens_equal_the_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
