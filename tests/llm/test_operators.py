@@ -542,6 +542,28 @@ def test_neighbours(spark):
     assert len(few) <= 2
 
 
+def test_neighbours_that_probing_misses(spark, monkeypatch):
+    r = np.random.default_rng(11)
+    x = r.standard_normal((60, 16))
+    x[20:] = x[19] * 5 + r.standard_normal((40, 16)) * 0.1  # a cluster
+    x[0] = -x[19]  # and an outlying query
+    x[1], x[2] = -x[0], x[0] + 0.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "EXACT_QUERIES", 3)
+    monkeypatch.setattr(ann, "EXACT_ROWS", 16)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    for n in (3, 60):
+        got = defaultdict(list)
+        for y in ann.nearest(df.where(F.col("vec_id") < n), F.col("vec_id") < 12).collect():
+            got[y["query_id"]].append((y["rank"], y["vec_id"]))
+        for q in range(min(n, 12)):
+            want = sorted((i for i in range(n) if i != q), key=lambda i: -u[i] @ u[q])[:5]
+            if n < 60 or u[want[-1]] @ u[q] < ann.SAFE:
+                assert sorted(got[q]) == list(enumerate(want, 1)), (n, q)
+            else:
+                assert len(got[q]) == 5
+
+
 def test_probe_order():
     sets = ann.probe_sets(4, 20)
     assert sets[0] == (0,) and len(set(sets)) == 20 and all(not ({x, 7 - x} <= set(s)) for s in sets for x in s)
