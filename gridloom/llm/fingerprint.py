@@ -54,9 +54,9 @@ def _passages(words: tk.Words) -> tuple[np.ndarray, np.ndarray]:
     return places, np.searchsorted(places, offsets)
 
 
-def vectors(column: pa.Array) -> np.ndarray:
-    """Fingerprints of texts, ``(rows, WIDTH)`` of int16; empty and null texts have the zero vector."""
-    out = np.zeros((len(column), WIDTH), dtype=np.int16)
+def sums(column: pa.Array) -> np.ndarray:
+    """Sums of texts before the modulus, ``(rows, WIDTH)`` of int64; empty and null texts have the zero vector."""
+    out = np.zeros((len(column), WIDTH), dtype=np.int64)
     for lo, hi, words in tk.slice_words(column, lower=False):
         places, bounds = _passages(words)
         n = len(words.data)
@@ -78,10 +78,15 @@ def vectors(column: pa.Array) -> np.ndarray:
                     ones = bits[x - a : y - a].sum(axis=0, dtype=np.int64)
                     done[row] = done.get(row, 0) + 2 * ones - (y - x)
         for row, v in done.items():
-            out[lo + row] = v.astype(np.int16)
+            out[lo + row] = v
     return out
 
 
+def vectors(column: pa.Array) -> np.ndarray:
+    """Fingerprints of texts, ``(rows, WIDTH)`` of int16; empty and null texts have the zero vector."""
+    return sums(column).astype(np.int16)
+
+
 def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     """Fingerprint of the union (sign 1) or the difference (sign -1) of two multisets of passages."""
     return (a.astype(np.int64) + sign * b.astype(np.int64)).astype(np.int16)
@@ -89,7 +94,7 @@ def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated share, by row, of passages in common: 1 - |a - b|^2 / (|a|^2 + |b|^2), held to 0..1; equal
-    fingerprints (two empty ones too) give 1."""
+    ones (two empty ones too) give 1. Takes :func:`sums`; fingerprints serve only while no sum has passed 16 bits."""
     x, y = a.astype(np.float64), b.astype(np.float64)
     apart = ((x - y) ** 2).sum(axis=1)
     both = (x**2).sum(axis=1) + (y**2).sum(axis=1)
@@ -97,6 +102,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def as_text(v: np.ndarray) -> list[str]:
+    """Fingerprints, or sums modulo 2**16, in base64."""
     return [base64.b64encode(x.astype("<i2").tobytes()).decode() for x in v]
 
 
@@ -170,7 +176,7 @@ def edited_pairs(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text")
                 part = b.slice(lo, hi - lo)
                 r, ghost = part.column(0).to_pylist(), part.column(1).to_pylist()
                 ids, texts = part.column(3).to_pylist(), part.column(4).to_pylist()
-                v = vectors(part.column(4))
+                v = sums(part.column(4))
                 if held is not None:
                     r, ghost, ids, texts = [held[0], *r], [held[1], *ghost], [held[2], *ids], [held[3], *texts]
                     v = np.vstack([held[4][None], v])
@@ -182,7 +188,7 @@ def edited_pairs(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text")
                 for i in at:
                     n = len(texts[i])
                     edited.append(texts[i][: n - n // 4] + texts[i + 1][: n // 4])
-                e = vectors(pa.array(edited, pa.large_string()))
+                e = sums(pa.array(edited, pa.large_string()))
                 mine = v[at]
                 yield pa.RecordBatch.from_arrays(
                     [

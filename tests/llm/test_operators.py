@@ -413,6 +413,16 @@ def test_fingerprints_are_homomorphic(spark, monkeypatch):
         assert got[i] == hashlib.sha256((t[: len(t) - len(t) // 4] + nxt[: len(t) // 4]).encode()).hexdigest()
 
 
+def test_likeness_of_a_line_repeated_often(spark):
+    line = "the same line again\n"
+    rows = [(1, line * 40_000), (2, "other words here\n" * 2)]
+    got = {x["doc_id"]: x for x in fingerprint.edited_pairs(frame(spark, rows)).collect()}
+    # 30,000 of the lines stay: 1 - 10,000^2 / (40,000^2 + 30,000^2), and a little for the two others
+    assert math.isclose(got[1]["near_edited"], 0.96, abs_tol=0.01) and got[1]["near_next"] < 0.01
+    v = fingerprint.vectors(pa.array([line * 40_000, line * 30_000, line * 10_000]))
+    assert (fingerprint.combine(v[0], v[1], -1) == v[2]).all() and fingerprint.as_text(v)[0] == got[1]["fingerprint"]
+
+
 # op8
 
 
