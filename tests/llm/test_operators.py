@@ -369,6 +369,17 @@ def test_pii_learns_contexts(spark):
     assert got[100] == "phone:18:27" and got[101] == ""
 
 
+def test_pii_contexts_beside_others(spark):
+    """Identifiers next to a number, after one word of label, at a text's start, and after a label without a blank."""
+    rows = [(i, f"id {7 * i} phone +1 (389) 555-{1000 + i} and") for i in range(10)] + [(20 + i, f"Tel: +1 (389) 556-{1000 + i}") for i in range(10)]
+    rows += [(40 + i, f"numbers +1 (389) 557-{1000 + i}, +1 (389) 558-{1000 + i}") for i in range(10)]
+    rows += [(100, "id 12345 phone 555-0199x"), (101, "Tel: 555-0199x"), (102, "we moved, new tel:555-0198y"), (103, "numbers +1 (389) 557-4444, 555-0197z"), (104, "room 555-0199y is free")]
+    rows += [(106, "numbers (555-0195v)")]
+    got = {x["doc_id"]: x["spans"] for x in pii.report(frame(spark, rows)).collect()}
+    assert (got[100], got[101], got[102]) == ("phone:15:24", "phone:5:14", "phone:18:27")
+    assert got[103] == "phone:8:25,phone:27:36" and got[104] == "" and got[106] == "phone:9:18"
+
+
 def test_redact(spark, empty):
     df = frame(spark, [(1, "é a@b.co and 1.2.3.4!"), (2, None), (3, "plain"), (4, "4111 1111 1111 1111")])
     out = {x["doc_id"]: x for x in pii.redact(df).collect()}
