@@ -388,6 +388,12 @@ def test_redact(spark, empty):
     assert pii.redact(empty).count() == 0
 
 
+def test_redact_overlapping_spans(spark):
+    df = frame(spark, [(1, "Call +1 (555) 123 4567.john@example.com now"), (2, "to +1 (5) 4222222222222.x@y.zz, a@b.co"), (3, "4111111111111111@h.co!"), (4, "1.2.3.45.6.7.8")])
+    out = {x["doc_id"]: x["text"] for x in pii.redact(df).collect()}
+    assert out == {1: "Call <PHONE> now", 2: "to <PHONE>, <EMAIL>", 3: "<EMAIL>!", 4: "<IP>.6.7.8"}
+
+
 # op7
 
 
