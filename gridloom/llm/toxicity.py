@@ -34,6 +34,8 @@ POWER, FLOOR = 4, 0.3
 LANDMARKS = 64
 #: Labelled texts of each label that the machine is trained on, at most.
 SAMPLE = 4096
+#: Toxic texts of the sample that a stem must be found in to be weighed as a landmark, whatever the sample's size.
+SUPPORT = 2
 #: Stems that are weighed as landmarks, at most.
 CANDIDATES = 2_000
 _STEMS = range(4, 13)
@@ -342,9 +344,9 @@ def fold_of(id_col: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic", use: Column | None = None, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic", use: Column | None = None, sample: int = SAMPLE, landmarks: int = LANDMARKS, support: int = SUPPORT) -> Model:
     """Fit on at most ``sample`` texts of each label, drawn by a hash of the id among the labelled rows that ``use``
-    keeps. An id labelled more than once counts as toxic if any label says so; null labels count as none. Without
+    keeps; landmarks are stems of at least ``support`` toxic ones. An id labelled more than once counts as toxic if any label says so; null labels count as none. Without
     texts of both labels the score is the same for all: 0, or 1 if all are toxic."""
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
     known = known.where(use) if use is not None else known
@@ -359,7 +361,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
     rows = stage(docs.select(F.col(id_col).alias("id"), text).join(chosen, "id").repartition(12, "id"), "labelled")
     counts = rows.select(text, "y").mapInArrow(_stem_counts, "stem string, t long, n long").groupBy("stem").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     toxic, clean = (sum(1 for _, y in ids if (y > 0) == want) for want in (True, False))
-    strongest = counts.where(F.col("t") >= (3 if toxic > 200 else 2)).where(F.col("t") * clean > F.col("n") * 4 * toxic).orderBy(F.desc(F.col("t") / toxic - F.col("n") / clean), F.desc(F.length("stem")), "stem").limit(CANDIDATES)
+    strongest = counts.where(F.col("t") >= support).where(F.col("t") * clean > F.col("n") * 4 * toxic).orderBy(F.desc(F.col("t") / toxic - F.col("n") / clean), F.desc(F.length("stem")), "stem").limit(CANDIDATES)
     marks = tuple(choose_landmarks([(r["stem"], r["t"], r["n"]) for r in strongest.collect()], toxic, clean, landmarks))
     if not marks:
         return constant

@@ -250,6 +250,16 @@ def test_toxicity(spark, docs, rows, empty):
 # op5
 
 
+def test_a_rare_insult_stays_known_among_many_labels(spark):
+    r = random.Random(10)
+    clean = ["table", "river", "window", "garden", "music", "winter", "paper", "number"]
+    text = lambda bad: " ".join([r.choice(clean) for _ in range(20)] + bad)
+    for n in (100, 260):  # toxic labels
+        data = [(i, text((["blockhead"] if i < 2 else ["moron"]) if i < n else [])) for i in range(2 * n)]
+        labels = spark.createDataFrame([(i, int(i < n)) for i in range(2 * n)], "doc_id long, toxic int")
+        assert any("blockhead".startswith(s) for s in toxicity.train(frame(spark, data), labels).landmarks), n
+
+
 def test_toxicity_in_other_scripts(spark):
     r = random.Random(9)
     scripts = [
