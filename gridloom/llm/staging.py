@@ -2,24 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no folder (tests on one machine).
-LOCAL_DEFAULT = "/tmp/checkpoints"
-#: Makes Spark remove an execution's shuffle files when it ends; what it wrote is read from the table from then on.
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; on an unset session the local default becomes it."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = LOCAL_DEFAULT
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+from ..operators.state import dropped, saved
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -27,26 +12,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Lost executors cost a reread, not a recomputation, and later passes read only the columns they use.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEAN_UP, "false")
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._staged_path = path
-    return out
-
-
-def drop_staged(df: DataFrame) -> None:
-    """Delete a table made by :func:`stage` that nothing reads any more."""
-    path = getattr(df, "_staged_path", None)
-    if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return saved(df, name, "staged")
+
+
+def drop_staged(*tables: DataFrame | None) -> None:
+    """Delete tables made by :func:`stage` that nothing reads any more."""
+    for df in tables:
+        dropped(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
