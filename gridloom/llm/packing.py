@@ -1,9 +1,10 @@
 """Best-fit packing of token pieces into sequences, planned on counts by length.
 
-The planner sees only how many pieces there are of each length (``CAPACITY`` numbers, whatever the corpus). From the
-longest down, it looks for what exactly fills the gap: one length, two, or three, in indexes of sums under the
-counts still available, and uses each combination as often as they allow. What is left goes best-fit, longest
-first. The plan is a list of patterns with counts; pieces then find their place by their rank in their length.
+The planner sees only how many pieces there are of each length (``CAPACITY`` numbers, whatever the corpus). Long pieces
+open sequences. For each gap it looks for what exactly fills it: one short length, two, or three, in indexes of sums
+under the counts still available, and uses each combination as often as they allow. Gaps without one take the longest
+piece that fits, and what is left is looked up again. The plan is a list of patterns with counts; pieces then find
+their place by their rank in their length.
 """
 
 from __future__ import annotations
@@ -20,16 +21,21 @@ from .tokens import token_batches
 
 CAPACITY = 1024
 VOCABULARY = "byte_bpe_50k.json"
+#: Pieces of at most this part of a sequence are short: they fill gaps, the others open sequences.
+SHORT = 8
+#: Rows of a plan that are broadcast, at most; a longer plan is joined by shuffle.
+PLAN_ROWS = 500_000
 #: Pieces of one length that are ranked together, about.
 RANKED = 5_000
 
 
-class _Sums:
-    """Availability by length, with the pairs that make a sum looked up among what is still there."""
+class _Lengths:
+    """How many short pieces of each length are left, with the pairs that make a sum looked up among these."""
 
-    def __init__(self, counts: np.ndarray):
-        self.left = counts.astype(np.int64).copy()
+    def __init__(self, counts: np.ndarray, short: int):
+        self.left = np.where(np.arange(len(counts)) <= short, counts, 0).astype(np.int64)
         self.have = self.left > 0
+        self.short = short
         self.pairs: np.ndarray | None = None
 
     def use(self, lengths: list[int], n: int) -> None:
@@ -40,99 +46,100 @@ class _Sums:
                 self.pairs = None
 
     def times(self, lengths: list[int]) -> int:
-        return min(self.left[x] // lengths.count(x) for x in lengths)
-
-    def pair(self, total: int, but: dict[int, int]) -> list[int] | None:
-        """The pair of this sum with the longest piece, beside pieces already taken."""
-        a = np.arange(total - 1, (total - 1) // 2, -1)
-        a = a[(a < len(self.left)) & (a > 0)]
-        ok = a[self.have[a] & self.have[total - a]]
-        for x in ok.tolist():
-            take = [x, total - x]
-            if all(self.left[y] >= take.count(y) + but.get(y, 0) for y in take):
+        return min(int(self.left[x]) // lengths.count(x) for x in lengths)
+
+    def pair(self, total: int, beside: list[int]) -> list[int] | None:
+        """The most even pair of this sum that is there beside the pieces already chosen."""
+        a = np.arange((total + 1) // 2, min(total - 1, self.short) + 1)
+        for x in a[self.have[a] & self.have[total - a]].tolist():
+            take = [*beside, x, total - x]
+            if self.times(take):
                 return take
         return None
 
     def makes_pairs(self) -> np.ndarray:
+        """Which sums some pair has."""
         if self.pairs is None:
-            f = np.fft.rfft(self.have.astype(float), 2 * len(self.have))
-            self.pairs = np.fft.irfft(f * f, 2 * len(self.have))[: len(self.have)] > 0.5
+            size = 2 * self.short + 2
+            f = np.fft.rfft(self.have[: self.short + 1].astype(float), size)
+            self.pairs = np.fft.irfft(f * f, size) > 0.5
         return self.pairs
 
-    def exact(self, first: int, gap: int, most: int) -> list[int] | None:
-        """One, two or three pieces (``most`` at most) that fill the gap beside ``first``."""
-        if most < 1:
-            return None
-        if self.have[gap] and self.left[gap] >= 1 + (gap == first):
+    def exact(self, gap: int) -> list[int] | None:
+        """One, two or three pieces that fill the gap."""
+        if gap <= self.short and self.have[gap]:
             return [gap]
-        if most < 2:
-            return None
-        if found := self.pair(gap, {first: 1}):
+        if gap <= 2 * self.short and (found := self.pair(gap, [])):
             return found
-        if most < 3:
+        if gap > 3 * self.short:
             return None
-        pairs = self.makes_pairs()
-        a = np.arange(gap - 2, (gap - 1) // 3, -1)
-        a = a[self.have[a] & pairs[gap - a]] if len(a) else a
-        for x in a.tolist():
-            but = {first: 1}
-            but[x] = but.get(x, 0) + 1
-            if self.left[x] >= but[x] and (found := self.pair(gap - x, but)):
-                return [x, *found]
+        a = np.arange(-(-gap // 3), min(gap - 2, self.short) + 1)
+        a = a[gap - a <= 2 * self.short]
+        for x in a[self.have[a] & self.makes_pairs()[gap - a]].tolist():
+            if found := self.pair(gap - x, [x]):
+                return found
         return None
 
+    def longest(self, most: int) -> int:
+        """The longest piece of at most this length; 0 if there is none."""
+        at = np.flatnonzero(self.have[: min(most, self.short) + 1])
+        return int(at[-1]) if len(at) else 0
+
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
     """``(lengths, how many sequences)``; ``counts[n]`` pieces have length n, 0 < n <= capacity.
 
-    Exact combinations of three use up short pieces, which small inputs may need later; so plans with fewer pieces
-    in a combination are made too, and the one with the fewest sequences is taken."""
-    return min((_plan(counts, capacity, most) for most in (3, 2, 1, 0)), key=lambda p: sum(n for _, n in p))
-
-
-def _plan(counts: np.ndarray, capacity: int, most: int) -> list[tuple[list[int], int]]:
-    s = _Sums(np.asarray(counts))
+    Long pieces open the sequences, longest first, each in the least gap that takes it. Then the gaps, least first, are
+    filled exactly from the short pieces while the counts allow. Exact sums are plenty among short pieces, and long ones
+    are never spent on each other's gaps, where later ones would miss them."""
+    counts = np.asarray(counts)
+    short = capacity // SHORT
     out: list[tuple[list[int], int]] = []
-    if s.left[capacity]:
-        out.append(([capacity], int(s.left[capacity])))
-        s.use([capacity], int(s.left[capacity]))
-    rest = np.zeros(capacity + 1, dtype=np.int64)
-    for length in range(capacity - 1, 0, -1):
-        while s.left[length]:
-            found = s.exact(length, capacity - length, most)
-            if not found:
-                rest[length] = s.left[length]
-                s.use([length], int(s.left[length]))
-                break
-            n = int(s.times([length, *found]))
-            out.append(([length, *found], n))
-            s.use([length, *found], n)
-    # Best fit: sequences with the least gap that still takes the piece, many alike at once.
     gaps: dict[int, list[tuple[list[int], int]]] = {}
-    for length in range(capacity, 0, -1):
-        n = int(rest[length])
+
+    def put(gap: int, held: list[int], n: int) -> None:
+        if n and gap:
+            gaps.setdefault(gap, []).append((held, n))
+        elif n:
+            out.append((held, n))
+
+    def least(at_least: int) -> tuple[int, list[int], int]:
+        gap = min((g for g in gaps if g >= at_least), default=0)
+        held, n = gaps[gap].pop() if gap else ([], 0)
+        if gap and not gaps[gap]:
+            del gaps[gap]
+        return gap, held, n
+
+    def begin(length: int, n: int) -> int:
+        """New sequences of one length; how many pieces went."""
+        each = min(capacity // length, n)
+        put(capacity - each * length, [length] * each, n // each)
+        return n // each * each
+
+    for length in range(capacity, short, -1):
+        n = int(counts[length])
         while n:
-            fits = [g for g in gaps if g >= length]
-            if fits:
-                g = min(fits)
-                held, m = gaps[g].pop()
-                if not gaps[g]:
-                    del gaps[g]
-                k = min(m, n)
-                if m > k:
-                    gaps.setdefault(g, []).append((held, m - k))
-                gaps.setdefault(g - length, []).append(([*held, length], k))
-                n -= k
-            else:
-                each = capacity // length
-                k = n // each
-                if k:
-                    gaps.setdefault(capacity - each * length, []).append(([length] * each, k))
-                    n -= k * each
-                else:
-                    gaps.setdefault(capacity - n * length, []).append(([length] * n, 1))
-                    n = 0
-    out += [x for g in gaps.values() for x in g]
+            gap, held, m = least(length)
+            k = min(m, n)
+            if k:
+                put(gap, held, m - k)
+                put(gap - length, [*held, length], k)
+            n -= k or begin(length, n)
+    pieces = _Lengths(counts, short)
+    while gaps or pieces.longest(short):
+        if not gaps:
+            x = pieces.longest(short)
+            pieces.use([x], begin(x, int(pieces.left[x])))
+            continue
+        gap, held, m = least(1)
+        found = pieces.exact(gap) or [x for x in [pieces.longest(gap)] if x]
+        if not found:
+            out.append((held, m))
+            continue
+        k = min(pieces.times(found), m)
+        pieces.use(found, k)
+        put(gap, held, m - k)
+        put(gap - sum(found), [*held, *found], k)
     return out
 
 
@@ -186,7 +193,8 @@ def pack(pieces: DataFrame, *, key: tuple[str, ...] = ("doc_id", "piece"), capac
             at += x
         base += n
     # Patterns times pieces of a pattern; grows with the number of lengths, not of pieces.
-    places = F.broadcast(spark.createDataFrame(slots, "s_length long, lo long, hi long, base long, offset long"))
+    places = spark.createDataFrame(slots, "s_length long, lo long, hi long, base long, offset long")
+    places = F.broadcast(places) if len(slots) <= PLAN_ROWS else places
     parts = int(max(1, counts.max() // RANKED))
     bucket = F.pmod(F.xxhash64(*key), F.lit(parts)).alias("bucket")
     rows = pieces.select("*", bucket)
