@@ -22,15 +22,17 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .components import components
-from .staging import stage
+from .staging import drop_staged, stage
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32, 3 in a million.
 BANDS, ROWS = 32, 5
 #: Signatures agree in fewer than this share of their minima: rejected without a look at the sets. At similarity
 #: 0.8 the share is 0.8 on average with a standard deviation of 0.032, so 0.62 is more than 5 deviations off.
 SIGNATURE_FLOOR = 0.62
-#: Counters of the sketch that orders shingles, as a power of 2: 1 MB on each worker.
-SKETCH_BITS = 18
+#: Counters of the sketch that orders shingles, as powers of 2: twice as many as shingles are counted, within these (1 MB
+#: to 16 MB on each worker). Beyond, a counter holds as many other shingles as shingles exceed counters; what is more
+#: frequent than that still comes last, and what is not pairs up with no more than that many.
+SKETCH_BITS = (18, 22)
 
 _rng = np.random.Generator(np.random.PCG64(99991))
 _A = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -139,15 +141,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     Two texts are linked when ``100 * |A & B| >= percent * |A | B|`` over their sets of distinct k-word shingles
     (A-Z lower-cased). A text of fewer words has its whole sequence as one shingle; a null text or one without
     words has an empty set and no link. ``component_id`` is the least id that links reach. Rows that repeat an id
-    are one node, linked by any of their texts, and each gets its own row. Ids must not be null. ``percent`` must
-    be at least 62, for which signatures are built.
+    are one node, linked by any of their texts, and each gets its own row. A row with a null id is linked with nothing:
+    its component is null and it is kept. Ids are cast to long. Empty table: no rows. ``percent`` must be at least 62,
+    for which signatures are built.
     """
     if percent < 62:
         raise ValueError("signatures are built for percent >= 62")
     src = docs.select(F.col(id_col).cast("long").alias("id"), text)
     all_rows = stage(src.mapInArrow(_signatures(k), "id long, n long, fp binary, bands array<long>, sig binary"), "minhash")
     slim = all_rows.select("id", "n", "fp")
-    classes = stage(slim.where("n > 0").groupBy("fp").agg(F.min("id").alias("rep")), "classes")
+    classes = stage(slim.where("n > 0 and id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "classes")
     # A class is known by the hash of its set; the row with its least id brings the signature.
     reps = stage(all_rows.join(classes.select("fp", F.col("rep").alias("id")), ["fp", "id"], "left_semi").dropDuplicates(["fp"]).withColumn("node", F.xxhash64("fp")), "reps")
     banded = reps.select("node", "id", "n", F.posexplode("bands").alias("band", "b")).select("node", "id", "n", F.xxhash64("band", "b").alias("key"))
@@ -160,7 +163,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
 
     first = stage(met.where("node <> pivot").where(close("n", "pn")).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
     likely = _likely(first, reps)
-    links = _confirmed(likely, _full_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")), reps, src, k), percent)
+    sets = _full_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")), reps, src, k)
+    links = _confirmed(likely, sets, percent)
+    drop_staged(sets)
+    drop_staged(likely)
     comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     # Buckets whose members are not all joined yet
     member = met.select("key", "node", "n").join(comps.select(F.col("u").alias("node"), F.col("v").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
@@ -168,19 +174,21 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     open_ = member.join(mixed, "key", "left_semi").select("node", "n", "c").distinct()
     many = comps.groupBy("v").agg(F.count("*").alias("many")).withColumnRenamed("v", "c")
     open_ = stage(open_.join(many, "c", "left").withColumn("many", F.coalesce("many", F.lit(0))), "open")
+    drop_staged(met, pivots)
     sets = _full_sets(open_.select("node"), reps, src, k)
     cross = _prefix_pairs(sets.join(open_, "node").select("node", "n", "c", "many", "set"), percent)
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _confirmed(_likely(cross.join(tested, ["a", "b"], "left_anti"), reps), sets, percent)
+    drop_staged(sets, open_, comps)
     # The links as ids; classes that hold rows of one id are one node.
     name = reps.select("node", "id")
     ends = links.union(more).join(name.select(F.col("node").alias("a"), F.col("id").alias("u")), "a").join(name.select(F.col("node").alias("b"), F.col("id").alias("v")), "b").select("u", "v")
-    owned = slim.where("n > 0").join(classes, "fp").select("id", "rep")
+    owned = slim.where("n > 0 and id is not null").join(classes, "fp").select("id", "rep")
     several = owned.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("id", "lo")
     roots = components(ends.union(owned.join(several, "id").select(F.col("rep").alias("u"), F.col("lo").alias("v"))))
-    out = slim.join(classes, "fp", "left").withColumn("rep", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("id")))
+    out = slim.join(classes, "fp", "left").withColumn("rep", F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col("rep")).otherwise(F.col("id")))
     out = out.join(roots.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), (F.col("id") == F.col("root")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"))
 
 
 def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -206,10 +214,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components ``c`` that can have the similarity, from ``(node, n, c, many, set)``.
 
-    The order is by a sketch of how many of these sets have a shingle, whose size is bounded: ``2**SKETCH_BITS``
-    counters. Any order is exact; the sketch only makes shingles of single texts come first.
+    The order is by a sketch of how many of these sets have a shingle, which has about twice as many counters as there
+    are shingles (``SKETCH_BITS``). Any order is exact; the sketch only makes shingles of single texts come first.
     """
-    bits = SKETCH_BITS
+    shingles = rows.agg(F.sum("n")).first()[0] or 0
+    bits = min(max(SKETCH_BITS[0], (2 * shingles).bit_length()), SKETCH_BITS[1])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, dtype=np.int64)
@@ -221,7 +230,7 @@ def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
             part = at[lo : lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["slot", "n"])
 
-    sums = rows.select("set").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    sums = rows.select("set").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
     sketch = np.zeros(1 << bits, dtype=np.int32)
     sketch[sums.column("slot").to_numpy()] = np.minimum(sums.column("n").to_numpy(), 2**31 - 1)
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
