@@ -25,9 +25,10 @@ from . import textkit as tk
 #: Coordinates of a fingerprint, 16 bits each.
 WIDTH = 256
 PASSAGE_WORDS = 8
-#: Text of one sorted range, about, and ranges at most (ranges are streamed, so their size is no matter of memory).
+#: Text of one sorted range, about. Ranges grow beyond it only where there would be more than the driver should hold
+#: borders of (at 100 TB they have half a gigabyte); they are streamed, so their size is no matter of memory.
 RANGE_CHARS = 6_000_000
-MAX_RANGES = 20_000
+MAX_RANGES = 200_000
 _NULL_ID = -(2**63)
 
 
@@ -129,7 +130,7 @@ def _ranges(docs: DataFrame) -> tuple[np.ndarray, int]:
     n = int(min(MAX_RANGES, max(1, (size["c"] or 0) // RANGE_CHARS)))
     if n == 1:
         return np.zeros(0, np.int64), size["k"]
-    cuts = docs.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 20 * n)).first()[0] or []
+    cuts = docs.agg(F.percentile_approx("key", [i / n for i in range(1, n)], min(20 * n, 1_000_000))).first()[0] or []
     return np.array(sorted({c for c in cuts if c != size["k"]}), dtype=np.int64), size["k"]
 
 
