@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +27,10 @@ from .staging import stage
 DEPTH = 4
 END = 0xFF
 _PAIR = 8 * (DEPTH - 1)  # bits of a gram below its last two context bytes
-#: Bytes of an input file whose texts share one set of answers, about.
-BLOCK_BYTES = 16 << 20
+#: Bytes of text that share one set of answers, about.
+BLOCK_BYTES = 24 << 20
+#: Blocks that are numbered, so that each has a partition of its own; of more, several meet in one, by a hash.
+NUMBERED, TOGETHER = 100_000, 8
 #: Bytes of text handled at once here.
 _SLICE = 1 << 19
 #: Fixed point for summing log probabilities in any order with one result.
@@ -254,17 +257,24 @@ def score(docs: DataFrame, trained: Column, *, id_col: str = "doc_id", text: str
     and one end: the sum of log10((c + 1) / (N + V + 1)). Null text: empty, so only the end. Without training texts
     every bit has probability one half. Words are counted by 64-bit hashes. Empty table: no rows.
     """
-    def blocked(df: DataFrame) -> DataFrame:
-        """A block is a stretch of an input file, so counting needs no shuffle of the texts."""
-        src = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(trained, F.lit(False)).alias("trained"), F.input_file_name().alias("file"), F.input_file_block_start().alias("start"))
-        return src.select("id", "text", "trained", F.xxhash64("file", F.floor(F.col("start") / BLOCK_BYTES)).alias("block"), (F.col("file") == "").alias("fileless"))
-
-    src = blocked(docs)
-    found = src.agg(F.count_distinct("block").alias("n"), F.max("fileless").alias("fileless")).first()
-    if found["fileless"]:
-        src = blocked(stage(docs, "texts"))
-        found = src.agg(F.count_distinct("block").alias("n")).first()
-    blocks = max(1, found["n"])
+    columns = [F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(trained, F.lit(False)).alias("trained")]
+    place = [F.input_file_name().alias("file"), F.input_file_block_start().alias("start"), F.col("_metadata.row_index").alias("at")]
+    try:
+        src = docs.select(*columns, *place)
+    except AnalysisException:  # not rows of Parquet files
+        src = stage(docs.select(*columns), "texts").select("id", "text", "trained", *place)
+    # A block is a stretch of what one task reads of a file, so counting needs no shuffle of the texts.
+    whole = src.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).first()
+    step = max(1, int(whole["n"] * BLOCK_BYTES / max(1, whole["bytes"] or 0)))
+    src = src.select("id", "text", "trained", F.xxhash64("file", "start", F.floor(F.col("at") / step)).alias("block"))
+    found = [r["block"] for r in src.select("block").distinct().limit(NUMBERED + 1).collect()]
+    if len(found) <= NUMBERED:
+        number = F.broadcast(docs.sparkSession.createDataFrame([(x, i) for i, x in enumerate(sorted(found))], "block long, number int"))
+        src = src.join(number, "block").select("id", "text", "trained", F.col("number").cast("long").alias("block"))
+        deal = lambda df: df.repartitionById(max(1, len(found)), F.col("block").cast("int"))
+    else:
+        parts = src.select("block").distinct().count() // TOGETHER
+        deal = lambda df: df.repartition(parts, "block")
     asked = stage(src.select("block", "trained", "text").mapInArrow(_count, "block long, kind int, key long, n long"), "asked")
     gram = asked.where("kind = 0").groupBy("key").agg(F.sum("n").alias("n"))
     trees = gram.repartition(F.shiftright("key", _PAIR)).sortWithinPartitions("key").select("key", "n")
@@ -288,7 +298,7 @@ def score(docs: DataFrame, trained: Column, *, id_col: str = "doc_id", text: str
     answers = answers.union(word.select("block", F.lit(1), "key", F.col("n").cast("double")))
     empty = [F.lit(None).cast(t) for t in ("long", "double")]
     rows = answers.select("block", "kind", "key", "x", F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("boolean").alias("trained"))
-    rows = rows.union(src.select("block", F.lit(2), *empty, "id", "text", "trained")).repartition(blocks, "block").sortWithinPartitions("block", "kind")
+    rows = deal(rows.union(src.select("block", F.lit(2), *empty, "id", "text", "trained"))).sortWithinPartitions("block", "kind")
     denominator = np.log10(n_tokens + distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
