@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .staging import stage
+from .staging import drop_staged, stage
 
 #: Words of a minimiser.
 M = 5
@@ -115,8 +115,10 @@ def _pack(k: int):
 
 
 def _sort_bucket(k: int):
-    """Windows of whole bucket groups, sorted: ``kind`` 1 for a place where an earlier equal window is known, 0 for
-    the first of a split bucket's part, to be merged."""
+    """Windows of whole bucket groups, sorted: ``kind`` 1 for a run of places, ``a`` to ``b``, where an earlier equal
+    window is known; 0 for the first of a split bucket's part, to be merged by its hashes."""
+
+    names = ["kind", "w1", "w2", "id", "u", "a", "b"]
 
     def found(part: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, us, starts = (part.column(c).to_numpy() for c in ("id", "u", "start"))
@@ -134,12 +136,20 @@ def _sort_bucket(k: int):
         w1, w2, row, start = w1[order], w2[order], row[order], start[order]
         first = np.ones(len(row), dtype=bool)
         first[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
-        keep = ~first | split[row]
-        kind = (~first[keep]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kind), pa.array(w1[keep].view(np.int64)), pa.array(w2[keep].view(np.int64)), pa.array(ids[row[keep]]), pa.array(us[row[keep]]), pa.array(start[keep].astype(np.int32))],
-            names=["kind", "w1", "w2", "id", "u", "start"],
-        )
+        later = ~first
+        place, string = start[later], row[later]
+        order = np.lexsort((place, string))
+        place, string = place[order], string[order]
+        new = np.ones(len(place), dtype=bool)
+        new[1:] = (string[1:] != string[:-1]) | (place[1:] != place[:-1] + 1)
+        at = np.flatnonzero(new)
+        string, a, b = string[at], place[at], place[np.append(at[1:], len(place)) - 1] if len(at) else place
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), none, none, none, pa.array(us[string]), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=names)
+        keep = first & split[row]
+        if keep.any():
+            string, place = row[keep], pa.array(start[keep].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(string), np.int32)), pa.array(w1[keep].view(np.int64)), pa.array(w2[keep].view(np.int64)), pa.array(ids[string]), pa.array(us[string]), place, place], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -164,17 +174,6 @@ def _sort_bucket(k: int):
     return run
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of consecutive places (rows come sorted by text and place)."""
-    for b in batches:
-        u, start = b.column(0).to_numpy(), b.column(1).to_numpy()
-        new = np.ones(len(u), dtype=bool)
-        new[1:] = (u[1:] != u[:-1]) | (start[1:] > start[:-1] + 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(u)) - 1 if len(u) else first
-        yield pa.RecordBatch.from_arrays([pa.array(u[first]), pa.array(start[first]), pa.array(start[last])], names=["u", "a", "b"])
-
-
 def _remove(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -200,28 +199,31 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
 
     A word goes if a window that covers it also starts earlier: at a smaller id, or in the same text at an earlier
     start. Windows are judged on the input. Rows that repeat an id and a text are one text and lose the same words;
-    different texts of one id go by a hash of the text. Null text: no words. Ids must not be null.
+    different texts of one id go by a hash of the text. Null text: no words. A text with a null id has no place in the
+    order: it loses nothing and makes no other lose words. Ids are cast to long. Empty table: no rows.
     """
     src = docs.select(F.xxhash64(id_col, text).alias("u"), F.col(id_col).cast("long").alias("id"), text)
     survey = stage(src.mapInArrow(_survey(k), "u long, id long, n_words long, sha string, anchors array<long>, spans array<long>"), "survey")
+    rows = stage(survey.select("u", "id", "n_words", "sha"), "texts")
     # Written first: a join with a table, not with an aggregate of the same key, lets Spark split a common anchor.
-    repeated = stage(survey.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    runs = survey.select("u", F.explode(F.arrays_zip("anchors", "spans")).alias("r")).select(F.col("r.anchors").alias("anchor"), "u", F.col("r.spans").alias("span"))
+    repeated = stage(survey.where("id is not null").select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    runs = survey.where("id is not null").select("u", F.explode(F.arrays_zip("anchors", "spans")).alias("r")).select(F.col("r.anchors").alias("anchor"), "u", F.col("r.spans").alias("span"))
     parts = F.ceil(F.col("n") / GROUP_ROWS)
     part = (F.pmod("u", parts) * 2 + (parts > 1).cast("long")).cast("int").alias("part")
     met = runs.join(repeated, "anchor").select("u", F.struct("anchor", "span", part).alias("r"))
     # A text's own super-k-mers: as many as it has words at most.
     wanted = met.groupBy("u").agg(F.collect_list("r").alias("runs"))
     held = stage(src.join(wanted, "u").dropDuplicates(["u"]), "candidates")
+    drop_staged(survey, repeated)
     packed = held.mapInArrow(_pack(k), "anchor long, part int, split boolean, id long, u long, start int, packed binary")
     dealt = packed.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    places = stage(dealt.mapInArrow(_sort_bucket(k), "kind int, w1 long, w2 long, id long, u long, start int"), "places")
-    merged = places.where("kind = 0").withColumn("n", F.row_number().over(Window.partitionBy("w1", "w2").orderBy("id", "u", "start"))).where("n > 1")
-    marks = places.where("kind = 1").select("u", "start").union(merged.select("u", "start"))
-    ranges = marks.repartition("u").sortWithinPartitions("u", "start").mapInArrow(_ranges, "u long, a int, b int")
-    by_text = ranges.groupBy("u").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
+    places = stage(dealt.mapInArrow(_sort_bucket(k), "kind int, w1 long, w2 long, id long, u long, a int, b int"), "places")
+    merged = places.where("kind = 0").withColumn("n", F.row_number().over(Window.partitionBy("w1", "w2").orderBy("id", "u", "a"))).where("n > 1")
+    marks = places.where("kind = 1").select("u", "a", "b").union(merged.select("u", "a", "b"))
+    # Ranges of one text: as many as it has words at most.
+    by_text = marks.groupBy("u").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
     lost = held.select("u", text).join(by_text, "u").mapInArrow(_remove(k), "u long, n_removed long, kept string")
-    return survey.select("u", "id", "n_words", "sha"), lost
+    return rows, lost
 
 
 def removal_report(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", k: int = 20) -> DataFrame:
