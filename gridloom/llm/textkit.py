@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; bounds a worker's memory whatever the batch holds.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True

@@ -18,7 +18,6 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,9 @@ SUPPORT = 2
 #: Stems that are weighed as landmarks, at most.
 CANDIDATES = 2_000
 _STEMS = range(4, 13)
-_KNOWN_BITS = 21
+_KNOWN_BITS = 20
+#: Stems that a task counts before it passes them on.
+HELD_STEMS = 100_000
 
 #: Runs of scripts that put no blanks between words: a stem may begin at any letter there.
 _UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U000323af]+")
@@ -54,21 +55,26 @@ _ACCENTED = np.array([0 if c == " " else ord(c) for c in "aaaaaaaceeeeiiiidnoooo
 _PAIRS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
-@cache
-def _folded() -> np.ndarray:
-    """The letter of each code point beyond ASCII: without case and accents; 0 for what is no letter."""
-    table = np.zeros(0x110000, dtype=np.uint32)
-    for code in range(0x80, 0x34000):  # no letters are assigned beyond
-        c = chr(code)
-        if unicodedata.category(c)[0] not in "LM" or unicodedata.combining(c):
-            continue
-        c = c.lower() if len(c.lower()) == 1 else c
-        parts = [x for x in unicodedata.normalize("NFKD", c.casefold()) if not unicodedata.combining(x)]
-        like = ord(parts[0]) if len(parts) == 1 else ord(c)
-        table[code] = _LETTER[like] if like < 0x80 else like
-    latin = (table >= 0xC0) & (table < 0x100)
-    table[latin] = _ACCENTED[table[latin] - 0xC0]
-    return table
+_FOLDED = np.zeros(0x110000, dtype=np.uint32)  # letter + 1; 0 where no text has had the code point yet
+
+
+def _letter(code: int) -> int:
+    """Of a code point beyond ASCII: without case and accents; 0 for what is no letter."""
+    c = chr(code)
+    if unicodedata.category(c)[0] not in "LM" or unicodedata.combining(c):
+        return 0
+    c = c.lower() if len(c.lower()) == 1 else c
+    parts = [x for x in unicodedata.normalize("NFKD", c.casefold()) if not unicodedata.combining(x)]
+    like = ord(parts[0]) if len(parts) == 1 else ord(c)
+    like = int(_LETTER[like]) if like < 0x80 else like
+    return int(_ACCENTED[like - 0xC0]) if 0xC0 <= like < 0x100 else like
+
+
+def _folded(codes: np.ndarray) -> np.ndarray:
+    new = np.unique(codes[_FOLDED[codes] == 0])
+    if len(new):
+        _FOLDED[new] = [_letter(c) + 1 for c in new.tolist()]
+    return _FOLDED[codes] - np.uint32(1)
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -82,7 +88,7 @@ def fold(data: np.ndarray) -> np.ndarray:
         for i in (1, 2, 3):
             long = np.flatnonzero(more >= i)
             code[long] = code[long] << 6 | data[at[long] + i] & 0x3F
-        out[at] = _folded()[code]
+        out[at] = _folded(code)
     return out
 
 
@@ -325,7 +331,7 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 runs = {run for w in mine for run in _UNSPACED.findall(w)}
                 stems |= {run[at : at + n] for run in runs for n in _STEMS_UNSPACED for at in range(len(run) - n + 1)}
                 count[1 if y[lo + i] else 0].update(stems)
-                if sum(map(len, count)) > 500_000:
+                if sum(map(len, count)) > HELD_STEMS:
                     yield _counted(count)
     if any(count):
         yield _counted(count)
