@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from gridloom.llm import mixing
-from tests.llm.test_operators import near, words
+from tests.llm.test_operators import near, shares, words
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +55,7 @@ def test_stages(spark, sf_dir):
     source = {i: before[i]["source"] for i in kept}
     order = sorted(set(source.values()), key=lambda s: (s is None, s or ""))
     sizes = [sum(size[i] for i in kept if source[i] == s) for s in order]
-    targets = mixing.water_fill(sizes, [5, 2, 1, 5][: len(order)], 1.5 * sum(sizes), 2)
+    targets = shares(sizes, [5, 2, 1, 5][: len(order)], 1.5 * sum(sizes), 2)
     taken = Counter()
     for r in out["mixing"]:
         taken[r["source"]] += len(words(r["text"]))
