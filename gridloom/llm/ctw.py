@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .staging import stage
+from .staging import release, stage
 
 DEPTH = 4
 END = 0xFF
@@ -287,6 +287,7 @@ def score(docs: DataFrame, trained: Column, *, id_col: str = "doc_id", text: str
             bits = np.frombuffer(b"".join(b.column(1).to_pylist()), np.float64).reshape(-1, 8)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(top.log10(b.column(0).to_numpy(), bits))], names=["key", "x"])
 
+    release(docs.sparkSession)
     coded = weighed.where("key is not null").select("key", "bits").mapInArrow(finish, "key long, x double")
     totals = {r["key"]: r["n"] for r in asked.where("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).collect()}
     n_tokens, n_texts = totals.get(0) or 0, totals.get(1) or 0

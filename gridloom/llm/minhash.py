@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .components import components
-from .staging import drop_staged, stage
+from .staging import drop_staged, release, stage
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32, 3 in a million.
 BANDS, ROWS = 32, 5
@@ -166,6 +166,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     sets = _full_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")), reps, src, k)
     links = _confirmed(likely, sets, percent)
     drop_staged(sets)
+    release(docs.sparkSession)
     drop_staged(likely)
     comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     # Buckets whose members are not all joined yet
@@ -175,6 +176,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     many = comps.groupBy("v").agg(F.count("*").alias("many")).withColumnRenamed("v", "c")
     open_ = stage(open_.join(many, "c", "left").withColumn("many", F.coalesce("many", F.lit(0))), "open")
     drop_staged(met, pivots)
+    release(docs.sparkSession)
     sets = _full_sets(open_.select("node"), reps, src, k)
     cross = _prefix_pairs(sets.join(open_, "node").select("node", "n", "c", "many", "set"), percent)
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -15,6 +15,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return saved(df, name, "staged")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now. Its cleaner does so when the driver collects garbage,
+    which with a large heap may be long after; steps that shuffle whole texts call this when what they wrote is staged."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_staged(*tables: DataFrame | None) -> None:
     """Delete tables made by :func:`stage` that nothing reads any more."""
     for df in tables:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .staging import drop_staged, stage
+from .staging import drop_staged, release, stage
 
 #: Words of a minimiser.
 M = 5
@@ -215,9 +215,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
     wanted = met.groupBy("u").agg(F.collect_list("r").alias("runs"))
     held = stage(src.join(wanted, "u").dropDuplicates(["u"]), "candidates")
     drop_staged(survey, repeated)
+    release(docs.sparkSession)
     packed = held.mapInArrow(_pack(k), "anchor long, part int, split boolean, id long, u long, start int, packed binary")
     dealt = packed.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
     places = stage(dealt.mapInArrow(_sort_bucket(k), "kind int, w1 long, w2 long, id long, u long, a int, b int"), "places")
+    release(docs.sparkSession)
     merged = places.where("kind = 0").withColumn("n", F.row_number().over(Window.partitionBy("w1", "w2").orderBy("id", "u", "a"))).where("n > 1")
     marks = places.where("kind = 1").select("u", "a", "b").union(merged.select("u", "a", "b"))
     # Ranges of one text: as many as it has words at most.
