@@ -1,12 +1,13 @@
 """Files as tables: discovery by suffix, GeoTIFF rasters, polygon shapefiles, probability tensors, settings and series.
 
-Files are read by Spark (``binaryFile``), so any store that it knows will do; only their bytes reach Python. A file is
-decoded in one task, as its format asks for; pixels leave it row by row in batches.
+Files are read by Spark (``binaryFile``), so any store that it knows will do; only their bytes reach Python. Rasters are
+cut into their strips or tiles, which are decoded in parallel; a file of another kind is decoded in one task.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import struct
 import zipfile
 import zlib
@@ -14,12 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_TYPES = {1: ("B", 1), 2: ("s", 1), 3: ("H", 2), 4: ("I", 4), 5: ("II", 8), 11: ("f", 4), 12: ("d", 8), 16: ("Q", 8)}
-#: Rows of a raster that leave the reader at once.
-ROWS = 64
+from .tiff import tiff_header, tiff_part, tiff_parts
+
+#: Rows of a raster that leave the reader at once, and packed bytes of its parts.
+ROWS, PART_BYTES = 64, 16 << 20
 
 
 def discover(spark: SparkSession, root: str, *suffixes: str, required: bool = True) -> DataFrame:
@@ -36,114 +38,70 @@ def _contents(spark: SparkSession, root: str, *suffixes: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).where(F.lower("path").rlike(pattern)).select("path", "content")
 
 
-def tiff_tags(b: bytes) -> tuple[str, dict[int, tuple]]:
-    """Byte order and the tags of a classic TIFF's first image."""
-    order = {b"II": "<", b"MM": ">"}[b[:2]]
-    magic, at = struct.unpack(order + "HI", b[2:8])
-    if magic != 42:
-        raise ValueError("only classic TIFF files are read")
-    (n,) = struct.unpack_from(order + "H", b, at)
-    tags = {}
-    for i in range(n):
-        tag, kind, count = struct.unpack_from(order + "HHI", b, at + 2 + 12 * i)
-        code, size = _TYPES.get(kind, ("B", 1))
-        place = at + 2 + 12 * i + 8
-        if count * size > 4:
-            (place,) = struct.unpack_from(order + "I", b, place)
-        raw = b[place : place + count * size]
-        tags[tag] = (raw.rstrip(b"\0").decode("latin-1"),) if kind == 2 else struct.unpack(order + str(count * len(code)) + code[0], raw)
-    return order, tags
-
-
-def tiff_header(b: bytes) -> dict:
-    """Size, bands, position and no-data value of a north-up raster."""
-    _, t = tiff_tags(b)
-    scale, tie = t.get(33550, (1.0, 1.0, 0.0)), t.get(33922, (0.0,) * 6)
-    nodata = t.get(42113)
-    return {"width": t[256][0], "height": t[257][0], "n_bands": t.get(277, (1,))[0], "res_x": scale[0], "res_y": scale[1], "x0": tie[3] - tie[0] * scale[0], "y0": tie[4] + tie[1] * scale[1], "nodata": float(nodata[0]) if nodata else None}
-
-
-def tiff_array(b: bytes) -> np.ndarray:
-    """(bands, rows, columns) of an uncompressed or deflated, striped or tiled file."""
-    order, t = tiff_tags(b)
-    w, h, n = t[256][0], t[257][0], t.get(277, (1,))[0]
-    kind = {1: "u", 2: "i", 3: "f"}[t.get(339, (1,))[0]]
-    dtype = np.dtype(f"{order}{kind}{t.get(258, (8,))[0] // 8}")
-    packing, planar, predictor = t.get(259, (1,))[0], t.get(284, (1,))[0], t.get(317, (1,))[0]
-    if packing not in (1, 8, 32946) or predictor not in (1, 2):
-        raise ValueError(f"compression {packing} with predictor {predictor} is not read")
-    tiled = 322 in t
-    tw, th = (t[322][0], t[323][0]) if tiled else (w, min(h, t.get(278, (h,))[0]))
-    offsets, counts = (t[324], t[325]) if tiled else (t[273], t[279])
-    across, down = -(-w // tw), -(-h // th)
-    each = 1 if planar == 2 else n
-    out = np.zeros((n, down * th, across * tw), dtype=dtype.newbyteorder("="))
-    for i, (at, size) in enumerate(zip(offsets, counts)):
-        raw = b[at : at + size]
-        raw = zlib.decompress(raw) if packing != 1 else raw
-        band, k = divmod(i, across * down) if planar == 2 else (0, i)
-        r, c = divmod(k, across)
-        part = np.frombuffer(raw, dtype=dtype)
-        part = part[: len(part) // (tw * each) * tw * each].reshape(-1, tw, each)
-        if predictor == 2:
-            part = np.cumsum(part, axis=1, dtype=dtype)
-        part = np.moveaxis(part, 2, 0)
-        rows = min(part.shape[1], down * th - r * th)
-        out[band : band + each, r * th : r * th + rows, c * tw : c * tw + tw] = part[:, :rows]
-    return out[:, :h, :w]
-
-
-def write_tiff(a: np.ndarray, x0: float, y0: float, res: tuple[float, float], nodata: float | None = None) -> bytes:
-    """A deflated, single-strip GeoTIFF of (bands, rows, columns)."""
-    n, h, w = a.shape
-    body = zlib.compress(np.ascontiguousarray(np.moveaxis(a, 0, 2)).astype(a.dtype.newbyteorder("<")).tobytes())
-    kind = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
-    tags = [(256, 4, (w,)), (257, 4, (h,)), (258, 3, (8 * a.itemsize,) * n), (259, 3, (8,)), (262, 3, (1,)), (273, 4, (0,)), (277, 3, (n,)), (278, 4, (h,)), (279, 4, (len(body),)), (284, 3, (1,)), (339, 3, (kind,) * n), (33550, 12, (*res, 0.0)), (33922, 12, (0.0, 0.0, 0.0, x0, y0, 0.0))]
-    if nodata is not None:
-        tags.append((42113, 2, (f"{nodata:g}\0".encode(),)))
-    at = 8 + 2 + 12 * len(tags) + 4
-    entries, extra = b"", b""
-    for tag, typ, values in tags:
-        data = values[0] if typ == 2 else struct.pack("<" + str(len(values)) + _TYPES[typ][0][0], *values)
-        count = len(data) if typ == 2 else len(values)
-        if tag == 273:
-            place = len(entries)
-        if len(data) <= 4:
-            entries += struct.pack("<HHI", tag, typ, count) + data.ljust(4, b"\0")
-        else:
-            entries += struct.pack("<HHII", tag, typ, count, at + len(extra))
-            extra += data
-    start = struct.pack("<I", at + len(extra))
-    entries = entries[: place + 8] + start + entries[place + 12 :]
-    return b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", len(tags)) + entries + b"\0\0\0\0" + extra + body
-
-
 def raster_meta(spark: SparkSession, root: str) -> DataFrame:
     """Headers of all rasters under a folder; bands are held to three."""
-    schema = "raster_id string, x0 double, y0 double, res_x double, res_y double, width long, height long, nodata double, n_bands int"
+    schema = "raster_id string, x0 double, y0 double, res_x double, res_y double, width long, height long, nodata double, epsg int, n_bands int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [{"raster_id": p, **tiff_header(c)} for p, c in zip(b["path"], b["content"])]
             out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
             out["n_bands"] = out["n_bands"].clip(upper=3) if len(out) else out["n_bands"]
+            out["epsg"] = out["epsg"].astype("Int32")
             yield out
 
     return _contents(spark, root, ".tif", ".tiff").mapInPandas(run, schema)
 
 
-def raster_pixels(spark: SparkSession, root: str) -> DataFrame:
-    """``(raster_id, band, r, c, v)`` of all rasters under a folder, bands 1 to 3."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def raster_pixels(spark: SparkSession, root: str, window: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """``(raster_id, band, r, c, v)`` of all rasters under a folder, bands 1 to 3; only those of a window (first row and
+    column, row and column after the last), if given. A file's strips or tiles are cut apart without decoding, those
+    outside the window left out, and decoded in parallel."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for path, content in zip(b["path"], b["content"]):
-                a = tiff_array(content)[:3]
+                held, size = [], 0
+                for part in tiff_parts(content, 3, window):
+                    held.append((path, *part))
+                    size += len(part[-1])
+                    if size > PART_BYTES:
+                        yield pd.DataFrame(held, columns=names)
+                        held, size = [], 0
+                if held:
+                    yield pd.DataFrame(held, columns=names)
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        r0, c0, r1, c1 = window or (0, 0, 2**62, 2**62)
+        for b in batches:
+            for path, layout, band, top, left, raw in b[names].itertuples(index=False, name=None):
+                a = tiff_part(layout, top, left, raw)[: 3 - band]
+                a = a[:, max(0, r0 - top) : r1 - top, max(0, c0 - left) : c1 - left]
+                top, left = max(top, r0), max(left, c0)
                 for r in range(0, a.shape[1], ROWS):
                     part = a[:, r : r + ROWS]
-                    band, row, col = np.indices(part.shape)
-                    yield pd.DataFrame({"raster_id": path, "band": band.ravel() + 1, "r": row.ravel() + r, "c": col.ravel(), "v": part.ravel().astype(float)})
-
-    return _contents(spark, root, ".tif", ".tiff").mapInPandas(run, "raster_id string, band int, r long, c long, v double")
+                    k, row, col = np.indices(part.shape)
+                    yield pd.DataFrame({"raster_id": path, "band": k.ravel() + band + 1, "r": row.ravel() + r + top, "c": col.ravel() + left, "v": part.ravel().astype(float)})
+
+    names = ["path", "layout", "band", "r", "c", "raw"]
+    parts = _contents(spark, root, ".tif", ".tiff").mapInPandas(cut, "path string, layout string, band int, r long, c long, raw binary")
+    return parts.repartition("path", "band", "r", "c").mapInPandas(decode, "raster_id string, band int, r long, c long, v double")
+
+
+def prj_epsg(text: str | None) -> int | None:
+    """The coordinate system of a ``.prj`` file: its own EPSG code, else of geographic WGS 84, its Mercator or a UTM zone
+    by name; null for others."""
+    if not text:
+        return None
+    own = re.search(r'AUTHORITY\s*\[\s*"EPSG"\s*,\s*"?(\d+)"?\s*\]\s*\]\s*$', text)
+    if own:
+        return int(own[1])
+    wgs = re.search(r"WGS[ _]?(?:19)?84", text)
+    zone = re.search(r"UTM[ _]zone[ _](\d{1,2})([NS])", text, re.I)
+    if wgs and zone:
+        return (32600 if zone[2].upper() == "N" else 32700) + int(zone[1])
+    if wgs and re.search("Web_Mercator|Pseudo-Mercator", text):
+        return 3857
+    return 4326 if wgs and text.lstrip().startswith("GEOGCS") else None
 
 
 def shapes(shp: bytes, dbf: bytes) -> list[tuple[int, list[list[list[float]]], dict[str, str]]]:
@@ -175,25 +133,19 @@ def shapes(shp: bytes, dbf: bytes) -> list[tuple[int, list[list[list[float]]], d
 
 
 def vector_map(spark: SparkSession, root: str, class_field: str) -> DataFrame:
-    """``(map, fid, class_name, rings)`` of all polygon shapefiles under a folder."""
-    files = _contents(spark, root, ".shp", ".dbf").select(F.regexp_replace("path", r"\.[^.]*$", "").alias("map"), F.lower(F.regexp_extract("path", r"([^.]*)$", 1)).alias("kind"), "content")
-    both = files.groupBy("map").agg(F.max(F.when(F.col("kind") == "shp", F.col("content"))).alias("shp"), F.max(F.when(F.col("kind") == "dbf", F.col("content"))).alias("dbf")).where("shp is not null and dbf is not null")
+    """``(map, fid, class_name, rings, epsg)`` of all polygon shapefiles under a folder."""
+    files = _contents(spark, root, ".shp", ".dbf", ".prj").select(F.regexp_replace("path", r"\.[^.]*$", "").alias("map"), F.lower(F.regexp_extract("path", r"([^.]*)$", 1)).alias("kind"), "content")
+    one = {k: F.max(F.when(F.col("kind") == k, F.col("content"))).alias(k) for k in ("shp", "dbf", "prj")}
+    both = files.groupBy("map").agg(*one.values()).where("shp is not null and dbf is not null")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(m, i, names.get(class_field), rings) for m, s, d in zip(b["map"], b["shp"], b["dbf"]) for i, rings, names in shapes(s, d)]
-            yield pd.DataFrame(rows, columns=["map", "fid", "class_name", "rings"])
-
-    return both.mapInPandas(run, "map string, fid long, class_name string, rings array<array<array<double>>>")
-
-
-def ring_area(rings: str = "rings") -> Column:
-    """Area of rings by the shoelace formula; holes run the other way and take away."""
-    def one(ring):
-        pairs = F.transform(F.sequence(F.lit(1), F.size(ring) - 1), lambda i: F.element_at(ring, i)[0] * F.element_at(ring, i + 1)[1] - F.element_at(ring, i + 1)[0] * F.element_at(ring, i)[1])
-        return F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x) / 2
+            rows = [(m, i, names.get(class_field), rings, prj_epsg(p.decode("utf-8", "replace") if p is not None else None)) for m, s, d, p in zip(b["map"], b["shp"], b["dbf"], b["prj"]) for i, rings, names in shapes(s, d)]
+            out = pd.DataFrame(rows, columns=["map", "fid", "class_name", "rings", "epsg"])
+            out["epsg"] = out["epsg"].astype("Int32")
+            yield out
 
-    return F.abs(F.aggregate(F.transform(F.col(rings), one), F.lit(0.0), lambda a, x: a + x))
+    return both.mapInPandas(run, "map string, fid long, class_name string, rings array<array<array<double>>>, epsg int")
 
 
 def tensors(spark: SparkSession, root: str) -> DataFrame:
@@ -230,30 +182,38 @@ def png_grey(b: bytes) -> np.ndarray:
         raise ValueError("only 8-bit PNG files without palette or interlace are read")
     n = {0: 1, 2: 3, 4: 2, 6: 4}[colour]
     raw = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * n)
-    out = np.zeros((h, w * n), dtype=np.uint8)
-    up = np.zeros(w * n, dtype=np.int64)
+    out = np.zeros((h, w, n), dtype=np.uint8)
+    up = np.zeros((w, n), dtype=np.uint8)
     for r in range(h):
-        line = raw[r, 1:].astype(np.int64)
-        how = raw[r, 0]
-        if how == 2:
-            line = (line + up) & 255
-        elif how in (1, 3, 4):
-            for i in range(w * n):
-                left = line[i - n] if i >= n else 0
-                if how == 1:
-                    guess = left
-                elif how == 3:
-                    guess = (left + up[i]) // 2
-                else:
-                    corner = up[i - n] if i >= n else 0
-                    near = [abs(left + up[i] - corner - x) for x in (left, up[i], corner)]
-                    guess = (left, up[i], corner)[near.index(min(near))]
-                line[i] = (line[i] + guess) & 255
+        line, how = raw[r, 1:].reshape(w, n), raw[r, 0]
+        if how == 1:  # sums run along the line
+            line = np.cumsum(line, axis=0, dtype=np.uint8)
+        elif how == 2:
+            line = line + up
+        elif how in (3, 4):  # each pixel needs the one before it
+            line = _predicted(line.tolist(), up.tolist(), how)
         out[r] = up = line
-    px = out.reshape(h, w, n).astype(float)
+    px = out.astype(float)
     return px[..., 0] if n < 3 else px[..., :3] @ np.array([0.2125, 0.7154, 0.0721])
 
 
+def _predicted(line: list[list[int]], up: list[list[int]], how: int) -> np.ndarray:
+    out = []
+    left = corner = [0] * len(line[0])
+    for x, above in zip(line, up):
+        now = []
+        for v, a, b, c in zip(x, left, above, corner):
+            if how == 3:
+                guess = (a + b) >> 1
+            else:
+                da, db, dc = abs(b - c), abs(a - c), abs(a + b - 2 * c)
+                guess = a if da <= db and da <= dc else b if db <= dc else c
+            now.append((v + guess) & 255)
+        out.append(now)
+        left, corner = now, above
+    return np.array(out, dtype=np.uint8)
+
+
 def strips(spark: SparkSession, root: str) -> DataFrame:
     """``(path, r, c, v)`` of grey image strips (PNG) under a folder; columns run along the track."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
