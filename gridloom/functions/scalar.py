@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -34,12 +35,14 @@ def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(basename(path), r"\.([^.]*)$", 1))
 
 
-def crosswalk(name: Column, ids: dict[str, int]) -> Column:
-    """Class id of a name: as written, and only where that misses trimmed and lower-cased; null if neither."""
-    direct = F.create_map(*(F.lit(x) for kv in ids.items() for x in kv))
-    plain = {k.strip().lower(): v for k, v in ids.items()}
-    second = F.create_map(*(F.lit(x) for kv in plain.items() for x in kv))
-    return F.coalesce(F.try_element_at(direct, name), F.try_element_at(second, F.lower(F.trim(name))))
+def crosswalk(name: Column, ids: dict[str, int | str]) -> Column:
+    """Class id of a name: as written, and only where that misses trimmed and lower-cased; null if neither. Ids given as
+    text are read as numbers; what is no whole number is null, and no second choice."""
+    whole = {k: str(v) for k, v in ids.items()}
+    direct = F.create_map(*(F.lit(x) for kv in whole.items() for x in kv)) if whole else F.create_map().cast("map<string,string>")
+    plain = {k.strip().lower(): v for k, v in whole.items() if re.fullmatch(r"\s*[+-]?\d+\s*", v)}
+    second = F.create_map(*(F.lit(x) for kv in plain.items() for x in kv)) if plain else F.create_map().cast("map<string,string>")
+    return F.coalesce(F.try_element_at(direct, name), F.try_element_at(second, F.lower(F.trim(name)))).try_cast("int")
 
 
 def class_names(config: Column) -> Column:
@@ -108,3 +111,20 @@ def out_shape(width: Column, height: Column, cell: Column, max_pixels: Column) -
     scale = F.sqrt((w * h).cast("double") / max_pixels)
     over = w * h > max_pixels
     return F.struct(F.when(over, F.greatest(F.lit(1), (w / scale).cast("long"))).otherwise(w).alias("w"), F.when(over, F.greatest(F.lit(1), (h / scale).cast("long"))).otherwise(h).alias("h"))
+
+
+#: Colours of the classes of an overlay, by rank.
+OVERLAY = (
+    "#0072B2", "#E69F00", "#009E73", "#CC79A7", "#D55E00", "#56B4E9", "#F0E442", "#332288", "#44AA99", "#117733", "#999933", "#AA4499",
+    "#88CCEE", "#882255", "#DDCC77", "#AA3377", "#66CCEE", "#228833", "#4477AA", "#EE6677", "#BBBBBB", "#77AADD", "#EE8866", "#44BB99",
+)
+
+
+def overlay(image: Column, label: Column, ids: dict[str, int]) -> Column:
+    """[red, green, blue] of a grey image with class colours half over it: the palette by rank of the ids above 0, black
+    for other labels, the image alone where the label is 0."""
+    ranks = sorted({v for v in ids.values() if v > 0})
+    rgb = lambda h: F.array(*(F.lit(int(h[i : i + 2], 16)) for i in (1, 3, 5)))
+    table = F.create_map(*(x for k, v in enumerate(ranks) for x in (F.lit(v), rgb(OVERLAY[k % len(OVERLAY)])))) if ranks else F.create_map().cast("map<int,array<int>>")
+    colour = F.coalesce(F.try_element_at(table, label.cast("int")), F.array(F.lit(0), F.lit(0), F.lit(0)))
+    return F.transform(colour, lambda x: blend(image.cast("double"), x, F.when(label > 0, 0.5).otherwise(0.0)))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import extension, stem
 from .regions import rings, simplify
+from .state import numbered
 
 #: Image types by preference.
 TYPES = ("png", "jpg", "jpeg", "tif", "tiff")
@@ -27,7 +28,7 @@ def boxes(labelled: DataFrame) -> DataFrame:
 def images(files: DataFrame, used: DataFrame | None = None) -> DataFrame:
     """``(id, file_name, width, height)``, numbered from 1 by name; only those that ``used`` names, if given."""
     f = files.join(used, "file_name", "left_semi") if used is not None else files
-    return f.select(F.row_number().over(Window.orderBy("file_name")).cast("long").alias("id"), "file_name", "width", "height")
+    return numbered(f.select("file_name", "width", "height"), "file_name", name="id", first=1).select(F.col("id").cast("long").alias("id"), "file_name", "width", "height")
 
 
 def categories(names: dict[int, str]) -> list[tuple[int, str]]:
@@ -36,15 +37,10 @@ def categories(names: dict[int, str]) -> list[tuple[int, str]]:
 
 
 def annotations(regions: DataFrame) -> DataFrame:
-    """``(id, image_id, category_id, bbox, area, iscrowd)``, numbered from 1 without gaps by image, category, place.
-
-    The numbers run over regions already cut down to one row each; ranges of images are numbered apart and added up,
-    so no task sees them all."""
-    order = ("image_id", "cls", "y", "x", "comp")
-    per = regions.groupBy("image_id").agg(F.count("*").alias("n"))
-    before = per.select("image_id", F.coalesce(F.sum("n").over(Window.orderBy("image_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    own = regions.withColumn("k", F.row_number().over(Window.partitionBy("image_id").orderBy(*order[1:])))
-    return own.join(before, "image_id").select((F.col("before") + F.col("k")).cast("long").alias("id"), "image_id", F.col("cls").alias("category_id"), F.array("x", "y", "w", "h").alias("bbox"), "area", F.lit(0).alias("iscrowd"), "comp")
+    """``(id, image_id, category_id, bbox, area, iscrowd, comp)``, numbered from 1 without gaps by image, category, place.
+    The numbers run over regions already cut down to one row each."""
+    own = numbered(regions, "image_id", "cls", "y", "x", "comp", name="id", first=1)
+    return own.select(F.col("id").cast("long").alias("id"), "image_id", F.col("cls").alias("category_id"), F.array("x", "y", "w", "h").alias("bbox"), "area", F.lit(0).alias("iscrowd"), "comp")
 
 
 def segmentation(labelled: DataFrame, tolerance: float = 1.0) -> DataFrame:

@@ -11,6 +11,19 @@ def modal_range(pings: DataFrame) -> DataFrame:
     return pings.groupBy("transect").agg(F.mode("ping_cnt", True).alias("ping_max"), F.mode("dep_bin", True).alias("dep_mode"))
 
 
+def depth_range(pings: DataFrame, order: str = "ping") -> DataFrame:
+    """Rows to keep of each transect: the commonest ping length, and for water-column tiles the commonest depth in
+    pixels of its first ping, cut to a whole number, and 50 more. The smallest on ties."""
+    mode = pings.groupBy("transect").agg(F.mode("ping_cnt", True).alias("ping_max"), F.mode("dep_m", True).alias("dep"), F.min_by("pixM", order).alias("pix"))
+    return mode.select("transect", F.col("ping_max").cast("long").alias("ping_max"), (F.try_divide("dep", "pix").cast("long") + 50).alias("dep_max"))
+
+
+def fit_height(strips: DataFrame, ranges: DataFrame, water_column: bool = False) -> DataFrame:
+    """``strips (transect, c, r, v)`` cut below the transect's range, or filled up with 0 to it."""
+    size = ranges.select("transect", F.col("dep_max" if water_column else "ping_max").alias("size"))
+    return pad_trim(strips.join(F.broadcast(size), "transect"), F.col("size"), ("transect", "c"), "r", "v")  # a row for each transect
+
+
 def chunk_pairs(chunks: DataFrame) -> DataFrame:
     """Each chunk with the one after it in its transect; null after the last."""
     w = Window.partitionBy("transect").orderBy("chunk")
