@@ -6,14 +6,16 @@ thresholds are compared before rounding.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import crs, scalar
-from ..operators import coco, coverage, labels, mosaic, pairing, regions, sonogram, spatial, tensors, windows
+from ..operators import coco, coverage, labels, mosaic, pairing, polygons, regions, sonogram, spatial, tensors, warp, windows
 from ..sources import views as v
+from . import workflow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +23,7 @@ ORACLES: dict[str, str] = {}
 WS, STRIDE, SHARE = 12, 6, 0.8
 LABEL_WS, LABEL_STRIDE, LABEL_SHARE = 12, 6, 0.05
 TILE = (4, 4)
+#: Colours of classes.
 COLOURS = ("#3366CC", "#DC3912", "#FF9900", "#109618", "#990099", "#0099C6", "#DD4477", "#66AA00", "#B82E2E", "#316395")
 
 
@@ -318,7 +321,19 @@ def resize_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensors.resize_nearest(c, ("tile_id", "cls"), TILE, (6, 6), "p").withColumn("p", _six("p"))
 
 
-@query()
+def _axis_sql(name: str, n: int, m: int) -> str:
+    """Weights ``(i, j, w)`` of source place j in target place i: a Gaussian of half the excess factor over a line that is
+    mirrored at its ends, then linear between centres."""
+    sigma = (n / m - 1) / 2
+    reach = int(4 * sigma + 0.5)
+    return f"""
+ {name}g AS (SELECT k, exp(-0.5 * (k / {sigma!r}::DOUBLE) ** 2) AS g FROM (SELECT unnest(range({-reach}, {reach} + 1)) AS k)),
+ {name}s AS (SELECT q, CASE WHEN mod(q + k + {4 * n}, {2 * n}) < {n} THEN mod(q + k + {4 * n}, {2 * n}) ELSE {2 * n - 1} - mod(q + k + {4 * n}, {2 * n}) END AS j, g / (SELECT sum(g) FROM {name}g) AS g FROM {name}g, (SELECT unnest(range(0, {n})) AS q)),
+ {name}x AS (SELECT i, least(floor(x), {n - 2}) AS lo, x - least(floor(x), {n - 2}) AS f FROM (SELECT i, least(greatest((i + 0.5::DOUBLE) * {n} / {m} - 0.5, 0), {n - 1}) AS x FROM (SELECT unnest(range(0, {m})) AS i))),
+ {name} AS (SELECT i, j, sum(g * CASE WHEN q = lo THEN 1 - f ELSE f END) AS w FROM {name}x JOIN {name}s ON q = lo OR q = lo + 1 GROUP BY i, j)"""
+
+
+@query(f"WITH {_axis_sql('ya', 8, 5)}, {_axis_sql('xa', 8, 3)}, p AS (SELECT vec_id, (unnest(embedding)::DOUBLE + 1) * 128 AS v, unnest(range(0, 64)) AS k FROM embeddings), o AS (SELECT vec_id, ya.i AS r, xa.i AS c, sum(v * ya.w * xa.w) AS v FROM p JOIN ya ON ya.j = k // 8 JOIN xa ON xa.j = k % 8 GROUP BY ALL) SELECT vec_id, list(trunc(least(greatest(v, 0), 255))::INT ORDER BY r, c) AS t FROM o GROUP BY vec_id")
 def resize_antialias(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = v.table(spark, sf_dir, "embeddings").select("vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda x: (x + 1) * 128).alias("t"))
     return tensors.resize_antialias(e, "vec_id", (8, 8), (5, 3))
@@ -414,12 +429,35 @@ def dissolve_pass1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.receivers(lab.groupBy("comp").agg(F.count("*").cast("double").alias("area")), regions.adjacency(lab), 4.0)
 
 
-@query()
+def _passes_sql(least: int, passes: int) -> str:
+    """Merging passes, each from the patches that the one before left."""
+    ctes = [f"{_LAB4}, {_NEAR4}, p0 AS MATERIALIZED (SELECT comp, count(*) AS area FROM lab GROUP BY comp), n0 AS MATERIALIZED (SELECT comp, nbr FROM nb)"]
+    for k in range(passes):
+        ctes.append(
+            f"o{k} AS MATERIALIZED (SELECT n.comp, n.nbr AS goes, a.area, row_number() OVER (PARTITION BY n.comp ORDER BY b.area DESC, n.nbr) AS o, b.area AS other FROM n{k} n JOIN p{k} a ON a.comp = n.comp AND a.area < {least} JOIN p{k} b ON b.comp = n.nbr), "
+            f"m{k} AS MATERIALIZED (SELECT x.comp, x.goes FROM o{k} x LEFT JOIN o{k} y ON y.comp = x.goes AND y.o = 1 AND y.goes = x.comp WHERE x.o = 1 AND (y.comp IS NULL OR x.area < x.other OR (x.area = x.other AND x.comp > x.goes))), "
+            f"h{k} AS (SELECT comp, goes FROM m{k} UNION SELECT h{k}.comp, m{k}.goes FROM h{k} JOIN m{k} ON m{k}.comp = h{k}.goes), "
+            f"e{k} AS MATERIALIZED (SELECT comp, goes FROM h{k} WHERE goes NOT IN (SELECT comp FROM m{k})), "
+            f"p{k + 1} AS MATERIALIZED (SELECT coalesce(e.goes, p.comp) AS comp, sum(p.area) AS area FROM p{k} p LEFT JOIN e{k} e USING (comp) GROUP BY 1), "
+            f"n{k + 1} AS MATERIALIZED (SELECT DISTINCT coalesce(x.goes, n.comp) AS comp, coalesce(y.goes, n.nbr) AS nbr FROM n{k} n LEFT JOIN e{k} x ON x.comp = n.comp LEFT JOIN e{k} y ON y.comp = n.nbr WHERE coalesce(x.goes, n.comp) <> coalesce(y.goes, n.nbr))"
+        )
+    return f"{', '.join(ctes)} SELECT comp, any_value(lab.cls) AS cls, any_value(area)::DOUBLE AS area FROM p{passes} JOIN lab USING (comp) GROUP BY comp"
+
+
+@query(_passes_sql(4, 5))
 def dissolve_small_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.dissolve(_labelled(spark, sf_dir, 4, None), 4.0)
 
 
-@query()
+# Small regions out; holes of at most two pixels filled, so that two rounds reach every pixel of them.
+_HOLES = _reach("keep.r IS NULL", _FOUR).removeprefix("WITH RECURSIVE ").replace("FROM v_label_pixels", "FROM v_label_pixels LEFT JOIN keep USING (r, c)").replace("a.cls AND b.cls", "").replace("cls FROM", "0 AS cls FROM")
+for _name in ("px", "lk", "reach", "comp", "lab"):
+    _HOLES = re.sub(rf"\b{_name}\b", f"z_{_name}", _HOLES)
+_SPREAD = "SELECT h.r, h.c, min(k.cls) AS cls FROM hole h JOIN {0} k ON abs(h.r - k.r) + abs(h.c - k.c) = 1 GROUP BY h.r, h.c"
+_ONE = _SPREAD.format("keep")
+
+
+@query(f"{_LAB8}, big AS (SELECT comp FROM lab GROUP BY comp HAVING count(*) >= 3), keep AS MATERIALIZED (SELECT r, c, cls FROM lab JOIN big USING (comp)), {_HOLES}, hole AS MATERIALIZED (SELECT r, c FROM z_lab JOIN (SELECT z_comp FROM z_lab GROUP BY z_comp HAVING count(*) < 3) USING (z_comp)), one AS MATERIALIZED ({_ONE}), two AS ({_SPREAD.format('one')}) SELECT p.r, p.c, coalesce(keep.cls, one.cls, two.cls, 0)::INT AS cls FROM v_label_pixels p LEFT JOIN keep USING (r, c) LEFT JOIN one USING (r, c) LEFT JOIN two USING (r, c)")
 def watershed_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.clean_labels(v.label_pixels(spark, sf_dir), 3)
 
@@ -492,11 +530,31 @@ def sonogram_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sonogram.sliding(v.pings(spark, sf_dir), 32, 8, F.col("ping_cnt"))
 
 
-@query("WITH m AS (SELECT transect, (max(ping_cnt) FILTER (WHERE ping < 50)) AS size FROM v_pings GROUP BY transect), g AS (SELECT transect, unnest(range(0, size)) AS ping FROM m) SELECT g.transect, g.ping, coalesce(p.ping_cnt, 0) AS ping_cnt FROM g LEFT JOIN v_pings p USING (transect, ping)")
+_DEPTHS = "rg AS (SELECT transect, ping, chunk, ping_cnt, dep_bin * 1.5::DOUBLE AS dep_m, 0.25::DOUBLE * (1 + transect % 3) AS pix FROM v_pings), fr AS (SELECT transect, arg_min(pix, ping) AS pix FROM rg GROUP BY transect), mp AS (SELECT transect, ping_cnt AS ping_max FROM (SELECT transect, ping_cnt, row_number() OVER (PARTITION BY transect ORDER BY count(*) DESC, ping_cnt) AS n FROM rg GROUP BY transect, ping_cnt) WHERE n = 1), md AS (SELECT transect, dep_m FROM (SELECT transect, dep_m, row_number() OVER (PARTITION BY transect ORDER BY count(*) DESC, dep_m) AS n FROM rg GROUP BY transect, dep_m) WHERE n = 1), dr AS (SELECT transect, ping_max, trunc(dep_m / pix)::BIGINT + 50 AS dep_max FROM mp JOIN md USING (transect) JOIN fr USING (transect))"
+
+
+def _depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = v.pings(spark, sf_dir).withColumn("dep_m", F.col("dep_bin") * 1.5).withColumn("pixM", 0.25 * (1 + F.col("transect") % 3))
+    return sonogram.depth_range(p)
+
+
+@query(f"WITH {_DEPTHS} SELECT transect, ping_max, dep_max FROM dr")
+def modal_depth_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _depths(spark, sf_dir)
+
+
+@query(f"WITH {_DEPTHS}, st AS (SELECT transect, chunk AS c, ping % 64 AS r, ping_cnt AS v FROM v_pings), gr AS (SELECT transect, c, unnest(range(0, dep_max)) AS r FROM (SELECT DISTINCT transect, c FROM st) JOIN dr USING (transect)) SELECT gr.transect, gr.c, gr.r, coalesce(st.v, 0) AS v FROM gr LEFT JOIN st USING (transect, c, r)")
+def fit_water_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strips (a column for each chunk) cut or filled to the depth range of their transect."""
+    st = v.pings(spark, sf_dir).select("transect", F.col("chunk").alias("c"), (F.col("ping") % 64).alias("r"), F.col("ping_cnt").alias("v"))
+    return sonogram.fit_height(st, _depths(spark, sf_dir), water_column=True)
+
+
+@query(f"WITH {_DEPTHS}, g AS (SELECT transect, unnest(range(0, ping_max)) AS ping FROM dr) SELECT g.transect, g.ping, coalesce(p.ping_cnt, 0) AS ping_cnt FROM g LEFT JOIN v_pings p USING (transect, ping)")
 def pad_trim_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each transect cut or padded to the largest of its first 50 ranges."""
-    p = v.pings(spark, sf_dir)
-    return sonogram.pad_trim(p, F.when(F.col("ping") < 50, F.col("ping_cnt")), ("transect",), "ping", "ping_cnt")
+    """Each transect cut or padded to its modal range."""
+    p = v.pings(spark, sf_dir).join(F.broadcast(_depths(spark, sf_dir)), "transect")  # a row for each transect
+    return sonogram.pad_trim(p, F.col("ping_max"), ("transect",), "ping", "ping_cnt")
 
 
 @query("SELECT transect, ping, 'img_' || printf('%05d', ping * 37) || '.jpg' AS name FROM v_pings")
@@ -565,14 +623,20 @@ def label_to_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.label_pixels(spark, sf_dir).select("r", "c", *(rgb[i].alias(n) for i, n in enumerate(("red", "green", "blue"))))
 
 
-@query("WITH d AS (SELECT DISTINCT cls FROM v_label_pixels WHERE cls > 0), k AS (SELECT cls, row_number() OVER (ORDER BY cls) AS k FROM d) SELECT r, c, round(CASE WHEN p.cls > 0 THEN 0.5 * (v % 256) + 0.5 * (k * 10) ELSE v % 256 END, 6) AS value FROM v_label_pixels p LEFT JOIN k USING (cls)")
+OVERLAY_IDS = {"none": 0, "urgent": 1, "high": 3, "medium": 2, "other": 7, "low": 4, "unset": -1}
+
+
+def _overlay_sql(i: int) -> str:
+    ranked = sorted(k for k in OVERLAY_IDS.values() if k > 0)
+    cases = " ".join(f"WHEN {k} THEN {int(scalar.OVERLAY[n][1 + 2 * i : 3 + 2 * i], 16)}" for n, k in enumerate(ranked))
+    return f"round(CASE WHEN cls > 0 THEN 0.5 * (v % 256) + 0.5 * CASE cls {cases} ELSE 0 END ELSE v % 256 END, 6)"
+
+
+@query(f"SELECT r, c, {', '.join(f'{_overlay_sql(i)}::DOUBLE AS {n}' for i, n in enumerate(('red', 'green', 'blue')))} FROM v_label_pixels")
 def overlay_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Colours by rank of the class ids that occur, blended half over the image."""
-    p = v.label_pixels(spark, sf_dir)
-    # One row for each class there is.
-    rank = p.where("cls > 0").select("cls").distinct().select("cls", F.dense_rank().over(Window.orderBy("cls")).alias("k"))
-    image, alpha = (F.col("v") % 256).cast("double"), F.when(F.col("cls") > 0, 0.5).otherwise(0.0)
-    return p.join(rank, "cls", "left").select("r", "c", F.round(scalar.blend(image, F.coalesce(F.col("k") * 10, F.lit(0)), alpha), 6).alias("value"))
+    """Class colours half over the image."""
+    p = v.label_pixels(spark, sf_dir).withColumn("rgb", scalar.overlay(F.col("v") % 256, F.col("cls"), OVERLAY_IDS))
+    return p.select("r", "c", *(F.round(F.col("rgb")[i], 6).alias(n) for i, n in enumerate(("red", "green", "blue"))))
 
 
 @query("SELECT fid, CASE WHEN a < b THEN a END AS x_min, CASE WHEN a < b THEN b END AS x_max FROM (SELECT fid, x_min AS a, x_max - fid % 13 AS b FROM v_features)")
@@ -587,11 +651,137 @@ def affine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("r", "c", _six("x"), _six("y"), F.floor((F.col("x") - 1000) / 0.25).alias("col"), F.floor((5000 - F.col("y")) / 0.5).alias("row"))
 
 
-@query()
+def _utm_sql() -> str:
+    """Transverse Mercator by the third-order series in the third flattening, in SQL."""
+    steps = f"c AS (SELECT fid, lon, lat, sqrt(f * (2 - f)) AS e, f / (2 - f) AS n FROM (SELECT fid, radians(x_min / 100 - 87.5) AS lon, radians(y_min / 100 + 33) AS lat, 1 / 298.257223563::DOUBLE AS f FROM v_features))"
+    steps += ", d AS (SELECT *, 6378137.0::DOUBLE / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) AS r, sinh(atanh(sin(lat)) - e * atanh(e * sin(lat))) AS t, lon - radians(-87) AS dl FROM c)"
+    steps += ", g AS (SELECT *, atan2(t, cos(dl)) AS xi, atanh(sin(dl) / sqrt(1 + t * t)) AS et, n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 AS a1, 13 * n ** 2 / 48 - 3 * n ** 3 / 5 AS a2, 61 * n ** 3 / 240 AS a3 FROM d)"
+    x = " + ".join(f"a{j} * cos({2 * j} * xi) * sinh({2 * j} * et)" for j in (1, 2, 3))
+    y = " + ".join(f"a{j} * sin({2 * j} * xi) * cosh({2 * j} * et)" for j in (1, 2, 3))
+    return f"WITH {steps} SELECT fid, round(500000 + 0.9996::DOUBLE * r * (et + {x}), 4) AS x, round(0.9996::DOUBLE * r * (xi + {y}), 4) AS y, round(degrees(lon), 7) AS lon, round(degrees(lat), 7) AS lat FROM g"
+
+
+@query(_utm_sql())
 def reproject_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features to UTM zone 16 north and back."""
     f = v.features(spark, sf_dir).select("fid", (F.col("x_min") / 100 - 87.5).alias("lon"), (F.col("y_min") / 100 + 33).alias("lat"))
     x, y = crs.reproject(F.col("lon"), F.col("lat"), 4326, 32616)
     f = f.withColumn("x", x).withColumn("y", y)
     lon, lat = crs.reproject(F.col("x"), F.col("y"), 32616, 4326)
-    return f.select("fid", "x", "y", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
+    return f.select("fid", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
+
+
+# Rasters in another coordinate system
+
+_WARP_META = ("part", -87.5, 34.25, 0.0125, 0.01)
+_SRC = f"src AS (SELECT (max(c) + 1)::BIGINT AS w, (max(r) + 1)::BIGINT AS h FROM v_pixels), box AS (SELECT w, h, 6378137.0::DOUBLE * radians({_WARP_META[1]}::DOUBLE) AS x0, 6378137.0::DOUBLE * radians({_WARP_META[1]} + w * {_WARP_META[3]}::DOUBLE) AS x1, 6378137.0::DOUBLE * ln(tan(radians({_WARP_META[2]}::DOUBLE) / 2 + pi() / 4)) AS y0, 6378137.0::DOUBLE * ln(tan(radians({_WARP_META[2]} - h * {_WARP_META[4]}::DOUBLE) / 2 + pi() / 4)) AS y1 FROM src), grid AS (SELECT w, h, x0, y0, x1, y1, greatest(1, round_even((x1 - x0) / 1500, 0)::BIGINT) AS tw, greatest(1, round_even((y0 - y1) / 1500, 0)::BIGINT) AS th FROM box)"
+_AT = f"spot AS (SELECT r, c, w, h, (degrees((x0 + (c + 0.5::DOUBLE) * (x1 - x0) / tw) / 6378137.0) - ({_WARP_META[1]}::DOUBLE)) / {_WARP_META[3]}::DOUBLE AS u, ({_WARP_META[2]}::DOUBLE - degrees(2 * atan(exp((y0 - (r + 0.5::DOUBLE) * (y0 - y1) / th) / 6378137.0)) - pi() / 2)) / {_WARP_META[4]}::DOUBLE AS q FROM (SELECT *, unnest(range(0, tw)) AS c FROM (SELECT *, unnest(range(0, th)) AS r FROM grid)))"
+_INSIDE = "u >= 0 AND u < w AND q >= 0 AND q < h"
+
+
+def _warp_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = v.pixels(spark, sf_dir).groupBy("raster_id").agg((F.max("c") + 1).alias("width"), (F.max("r") + 1).alias("height"))
+    return size.select("raster_id", *(F.lit(x).alias(n) for x, n in zip(_WARP_META[1:], ("x0", "y0", "res_x", "res_y"))), "width", "height")
+
+
+def _warped(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    meta = _warp_meta(spark, sf_dir)
+    return warp.warp(v.pixels(spark, sf_dir), meta, warp.target_grid(meta, 4326, 3857, 1500), 4326, 3857, method=method, nodata=0).drop("band")
+
+
+@query(f"WITH {_SRC} SELECT 'part' AS raster_id, round(x0, 3) AS x0, round(y0, 3) AS y0, round((x1 - x0) / tw, 6) AS res_x, round((y0 - y1) / th, 6) AS res_y, tw AS width, th AS height FROM grid")
+def warp_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Mercator grid, in cells of about 1500 m, of a raster in degrees."""
+    g = warp.target_grid(_warp_meta(spark, sf_dir), 4326, 3857, 1500)
+    return g.select("raster_id", F.round("x0", 3).alias("x0"), F.round("y0", 3).alias("y0"), _six("res_x"), _six("res_y"), "width", "height")
+
+
+@query(f"WITH {_SRC}, {_AT} SELECT 'part' AS raster_id, spot.r, spot.c, v::DOUBLE AS v FROM spot JOIN v_pixels p ON p.r = floor(q) AND p.c = floor(u) WHERE v <> 0 AND {_INSIDE}")
+def warp_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _warped(spark, sf_dir, "nearest")
+
+
+@query(f"WITH {_SRC}, {_AT}, nr AS (SELECT r, c, floor(q - 0.5) + i AS pr, floor(u - 0.5) + j AS pc, abs(1 - i - (q - 0.5 - floor(q - 0.5))) * abs(1 - j - (u - 0.5 - floor(u - 0.5))) AS k FROM spot, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j) WHERE {_INSIDE}) SELECT 'part' AS raster_id, nr.r, nr.c, round(sum(k * v) / sum(k), 6) AS v FROM nr JOIN v_pixels p ON p.r = pr AND p.c = pc WHERE v <> 0 AND k > 0 GROUP BY nr.r, nr.c")
+def warp_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _warped(spark, sf_dir, "bilinear").withColumn("v", _six("v"))
+
+
+# Polygons: diamonds in the boxes of the map, every other one with a hole of half its size
+
+_DIAMOND = "dm AS (SELECT fid, class_name, (x_min + x_max) / 2 AS xm, (y_min + y_max) / 2 AS ym, (x_max - x_min) / 2 AS a, (y_max - y_min) / 2 AS b FROM v_features)"
+_PARTS = "part_ AS (SELECT fid, class_name, xm, ym, a, b, 1 AS sg FROM dm UNION ALL SELECT fid, class_name, xm, ym, a / 2, b / 2, -1 FROM dm WHERE fid % 2 = 0)"
+
+
+def _polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = v.features(spark, sf_dir)
+    xm, ym = (F.col("x_min") + F.col("x_max")) / 2, (F.col("y_min") + F.col("y_max")) / 2
+    a, b = (F.col("x_max") - F.col("x_min")) / 2, (F.col("y_max") - F.col("y_min")) / 2
+
+    def diamond(k: float, way: int) -> Column:
+        return F.array(F.array(xm, ym - b * k), F.array(xm + a * k * way, ym), F.array(xm, ym + b * k), F.array(xm - a * k * way, ym))
+
+    return f.select("fid", "class_name", F.when(F.col("fid") % 2 == 0, F.array(diamond(1, 1), diamond(0.5, -1))).otherwise(F.array(diamond(1, 1))).alias("rings"))
+
+
+def _corner(x: str, y: str) -> str:
+    """Area of a diamond between its centre and a corner, signed by the quadrant."""
+    u, w = f"least(abs({x} - xm), a)", f"least(abs({y} - ym), b)"
+    return f"(sign({x} - xm) * sign({y} - ym) * ({u} * {w} - greatest(0, {u} / a + {w} / b - 1) ** 2 * a * b / 2))"
+
+
+_CUT = f"sg * ({_corner('w.x_max', 'w.y_max')} - {_corner('w.x_min', 'w.y_max')} - {_corner('w.x_max', 'w.y_min')} + {_corner('w.x_min', 'w.y_min')})"
+
+
+@query(f"WITH {_LW}, {_DIAMOND}, {_PARTS}, cut AS (SELECT win_id, fid, class_name, sum({_CUT}) AS area FROM win w, part_ GROUP BY ALL) SELECT win_id, fid, class_name, round(area, 6) AS area FROM cut WHERE area > 1e-9")
+def label_clip_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of polygons with holes in windows."""
+    c = polygons.clip_areas(_label_windows(spark), _polygons(spark, sf_dir), float(LABEL_WS)).where("area > 1e-9")
+    return c.select("win_id", "fid", "class_name", _six("area"))
+
+
+_EDGES = "ed AS (SELECT fid, class_name, unnest([[xm, ym - b, xm + a, ym], [xm + a, ym, xm, ym + b], [xm, ym + b, xm - a, ym], [xm - a, ym, xm, ym - b]]) AS e FROM part_)"
+
+
+@query(f"WITH {_DIAMOND}, {_PARTS}, {_EDGES}, ct AS (SELECT fid, {_IDS} AS value, c, unnest(range(floor(ym - b)::BIGINT, ceil(ym + b)::BIGINT)) AS r FROM (SELECT *, unnest(range(floor(xm - a)::BIGINT, ceil(xm + a)::BIGINT)) AS c FROM dm) WHERE {_IDS} IS NOT NULL), hit AS (SELECT ct.fid, value, r, c FROM ct JOIN ed ON ed.fid = ct.fid AND ((e[2] <= r + 0.5) <> (e[4] <= r + 0.5)) AND e[1] + (r + 0.5 - e[2]) / (e[4] - e[2]) * (e[3] - e[1]) <= c + 0.5 GROUP BY ALL HAVING count(*) % 2 = 1) SELECT r, c, arg_max(value, fid) AS value FROM hit GROUP BY r, c")
+def rasterize_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polygons.burn(_polygons(spark, sf_dir), scalar.crosswalk(F.col("class_name"), v.FEATURE_IDS))
+
+
+@query(f"WITH {_DIAMOND}, {_PARTS} SELECT fid, round(sum(sg * 2 * a * b), 6) AS area FROM part_ GROUP BY fid")
+def polygon_wkt_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas after the polygons were written as text and read back."""
+    p = _polygons(spark, sf_dir).select("fid", polygons.from_wkt(polygons.to_wkt(F.col("rings"))).alias("rings"))
+    return p.select("fid", F.round(polygons.ring_area(), 6).alias("area"))
+
+
+@query(f"WITH {_DIAMOND}, {_PARTS}, pt AS (SELECT fid, sg, unnest([xm, xm + a, xm, xm - a]) AS x, unnest([ym - b, ym, ym + b, ym]) AS y, unnest([0, 1, 2, 3]) AS k FROM part_) SELECT fid, CASE WHEN sg > 0 THEN 0 ELSE 1 END AS part, CASE WHEN sg > 0 THEN k ELSE (4 - k) % 4 END AS point, round(6378137.0::DOUBLE * radians(x / 10), 3) AS x, round(6378137.0::DOUBLE * ln(tan(radians(y / 10) / 2 + pi() / 4)), 3) AS y FROM pt")
+def reproject_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p[0] / 10, p[1] / 10)))
+    p = polygons.reprojected(_polygons(spark, sf_dir).select("fid", scaled.alias("rings")), 4326, 3857)
+    p = p.select("fid", F.posexplode("rings").alias("part", "ring")).select("fid", "part", F.posexplode("ring").alias("point", "p"))
+    return p.select("fid", "part", "point", F.round(F.col("p")[0], 3).alias("x"), F.round(F.col("p")[1], 3).alias("y"))
+
+
+@query(f"{_LAB4} SELECT comp AS patch_id, cls AS substrate, CASE cls WHEN 1 THEN 'Fines' WHEN 2 THEN 'Sand' WHEN 4 THEN 'Boulder' ELSE cls::VARCHAR END AS name, count(*)::DOUBLE * 0.5 AS area_m, count(*)::DOUBLE * 0.5 AS ring_area FROM lab WHERE cls <> 0 GROUP BY comp, cls")
+def map_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patches of a class raster as polygons in map units, with the area that their rings enclose."""
+    m = workflow.vector_map(v.label_pixels(spark, sf_dir).select("r", "c", "cls"), NAMES, pixel=(1.0, 0.5), left=10.0, top=20.0)
+    return m.select("patch_id", "substrate", "name", "area_m", F.round(polygons.ring_area(), 6).alias("ring_area"))
+
+
+CODES = {"fines": "1", "sand": "two", "Gravel": " 3 ", "boulder": "+4", "mask": "", "shadow": "5"}
+
+
+@query("SELECT fid, class_name, CASE WHEN class_name = 'Gravel' THEN 3 ELSE " + "CASE lower(trim(class_name)) WHEN 'fines' THEN 1 WHEN 'boulder' THEN 4 WHEN 'shadow' THEN 5 END END AS value FROM v_features")
+def class_crosswalk_coerced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class numbers given as text; those that are none give null."""
+    return v.features(spark, sf_dir).select("fid", "class_name", scalar.crosswalk(F.col("class_name"), CODES).alias("value"))
+
+
+@query("WITH t AS (SELECT vec_id, 'tiles/x/img_' || vec_id || CASE WHEN vec_id % 2 = 0 THEN '.png' ELSE '.png.tif' END AS tile FROM embeddings), n AS (SELECT 'img_' || vec_id AS base, 4 AS classes, embedding AS t FROM embeddings WHERE vec_id % 3 <> 0) SELECT vec_id, tile, classes, len(n.t)::INT AS numbers FROM t JOIN n ON n.base = 'img_' || vec_id")
+def tile_tensor_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles with the probabilities in the file of their name."""
+    e = v.table(spark, sf_dir, "embeddings")
+    name = F.concat(F.lit("tiles/x/img_"), F.col("vec_id").cast("string"), F.when(F.col("vec_id") % 2 == 0, ".png").otherwise(".png.tif"))
+    found = e.where("vec_id % 3 <> 0").select(F.concat(F.lit("img_"), F.col("vec_id").cast("string")).alias("base"), F.lit(4).alias("classes"), F.lit(4).alias("height"), F.lit(4).alias("width"), F.col("embedding").alias("t"))
+    return pairing.with_tensors(e.select("vec_id", name.alias("tile")), found).select("vec_id", "tile", "classes", F.size("t").alias("numbers"))

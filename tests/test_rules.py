@@ -3,6 +3,8 @@
 import io
 import json
 import math
+import struct
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -10,9 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import crs, scalar
-from gridloom.operators import coco, coverage, labels, mosaic, regions, sonogram, spatial, tensors, windows
+from gridloom.operators import coco, coverage, labels, mosaic, pairing, polygons, regions, sonogram, spatial, state, tensors, warp, windows
 from gridloom.plans import workflow
-from gridloom.sources import files
+from gridloom.sources import files, sinks, tiff
 from gridloom.streaming.coverage import coverage_stream
 
 
@@ -169,17 +171,256 @@ def test_dissolve(spark):
     assert sum(x["area"] for x in regions.dissolve(noise, 6.0).collect()) == 400
 
 
+def area(ring):
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, [*ring[1:], ring[0]]))) / 2
+
+
 def test_simplify(spark):
     lab = regions.components(grid(spark, "11\n12"), connectivity=4, background=None)
     rings = {x["comp"]: x["ring"] for x in regions.simplify(regions.rings(lab), 0.1).collect()}
-
-    def area(ring):
-        return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, [*ring[1:], ring[0]]))) / 2
-
     assert sorted(map(area, rings.values())) == [1.0, 3.0]
     assert regions.thinned([(0, 0), (1, 0), (2, 0), (2, 2)], 0.5) == [(0, 0), (2, 0), (2, 2)]
 
 
+@pytest.mark.parametrize("block", [4, 256])
+def test_outlines_cover_the_raster(spark, block):
+    """Whatever the blocks, rings enclose the pixels of their region, and thinned borders are the same on both sides."""
+    r = np.random.default_rng(5)
+    a = r.integers(0, 3, (9, 14))
+    a[2:7, 3:11] = 1
+    a[4, 5] = a[4, 8] = 2
+    lab = regions.components(grid(spark, "\n".join("".join(map(str, x)) for x in a)), connectivity=4, background=None).cache()
+    size = {x["comp"]: x["size"] for x in regions.sizes(lab).collect()}
+    exact = defaultdict(float)
+    for x in regions.simplify(regions.rings(lab), 1e-9, block).collect():
+        assert x["hole"] == (x["part"] > 0) or not x["hole"]
+        exact[x["comp"]] += -area(x["ring"]) if x["hole"] else area(x["ring"])
+    assert exact == size
+    sides = Counter()
+    for x in regions.simplify(regions.rings(lab), 1.2, block).collect():
+        for p, q in zip(x["ring"], [*x["ring"][1:], x["ring"][0]]):
+            sides[tuple(sorted((tuple(p), tuple(q))))] += 1
+    rim = lambda e: e[0] in (0, 14) or e[1] in (0, 9)
+    assert all(n % 2 == 0 or (rim(p[0]) and rim(p[1])) for p, n in sides.items())
+
+
+def test_flood_far_and_merge_at_a_distance(spark):
+    wide = grid(spark, "1" + "0" * 80)
+    got = regions.flood(wide.where("cls = 1"), wide)
+    assert got.where("cls = 1").count() == 81
+    apart = regions.components(grid(spark, "1002222\n0000000"), connectivity=4)
+    assert rows(regions.dissolve(apart, 2.0).select("cls", "area")) == [(1, 1.0), (2, 4.0)]
+    assert rows(regions.dissolve(apart, 2.0, reach=1.5).select("cls", "area")) == [(1, 1.0), (2, 4.0)]
+    assert rows(regions.dissolve(apart, 2.0, reach=2.0).select("cls", "area")) == [(2, 5.0)]
+
+
+def test_numbers(spark):
+    df = spark.createDataFrame([(i * 7 % 50, str(i)) for i in range(50)], "k long, x string").repartition(7)
+    assert sorted(map(tuple, state.numbered(df, "k", first=1).select("k", "n").collect())) == [(i, i + 1) for i in range(50)]
+    assert state.numbered(df.where("false"), "k").count() == 0
+
+
+def test_polygons(spark):
+    """A U and a square with a hole, cut by boxes and burnt."""
+    u = [[[0.0, 0.0], [6.0, 0.0], [6.0, 6.0], [4.0, 6.0], [4.0, 2.0], [2.0, 2.0], [2.0, 6.0], [0.0, 6.0], [0.0, 0.0]]]
+    ring = [[[10.0, 0.0], [10.0, 4.0], [14.0, 4.0], [14.0, 0.0]], [[11.0, 1.0], [13.0, 1.0], [13.0, 3.0], [11.0, 3.0]]]
+    f = spark.createDataFrame([(1, "u", u), (2, "ring", ring), (3, "none", [])], "fid int, class_name string, rings array<array<array<double>>>")
+    assert {x["fid"]: x["a"] for x in f.select("fid", polygons.ring_area().alias("a")).collect()} == {1: 28.0, 2: 12.0, 3: 0.0}
+    w = spark.createDataFrame([(7, 1.0, 1.0, 5.0, 5.0), (8, 12.0, 0.0, 20.0, 20.0), (9, 2.0, 3.0, 4.0, 5.0), (10, -50.0, -50.0, 50.0, 50.0)], "win_id int, x_min double, y_min double, x_max double, y_max double")
+    got = {(x["win_id"], x["fid"]): x["area"] for x in polygons.clip_areas(w, f, 30.0).collect()}
+    assert got == {(7, 1): 10.0, (8, 2): 6.0, (10, 1): 28.0, (10, 2): 12.0}
+    burnt = {(x["r"], x["c"]) for x in polygons.burn(f, F.col("fid")).collect()}
+    inside = lambda x, y: (0 < x < 6 and 0 < y < 6 and not (2 < x < 4 and y > 2)) or (10 < x < 14 and 0 < y < 4 and not (11 < x < 13 and 1 < y < 3))
+    assert burnt == {(r, c) for r in range(8) for c in range(16) if inside(c + 0.5, r + 0.5)}
+    flipped = {(x["r"], x["c"]) for x in polygons.burn(f, F.col("fid"), 0.0, 8.0, (1.0, 1.0)).collect()}
+    assert flipped == {(7 - r, c) for r, c in burnt}
+    text = {x["fid"]: x["t"] for x in f.select("fid", polygons.to_wkt(F.col("rings")).alias("t")).collect()}
+    assert text[3] == "POLYGON EMPTY" and text[2].startswith("POLYGON ((10.0 0.0, ")
+    parse = lambda t: spark.range(1).select(polygons.from_wkt(F.lit(t)).alias("x")).first()["x"]
+    assert parse("POINT (1 2)") is None and parse("POLYGON ((0 0, 1 x, 2 2))") is None and len(parse("multipolygon (((0 0, 1 0, 1 1)), ((5 5, 6 5, 6 6)))")) == 2
+    hole = spark.range(1).select(polygons.inside(F.array(F.lit(12.0), F.lit(2.0)), F.array(*(F.array(*map(F.lit, p)) for p in ring[0]))).alias("x"))
+    assert hole.first()["x"] is True
+
+
+def test_warp(spark):
+    meta = spark.createDataFrame([("a", 0.0, 3.0, 1.0, 1.0, 4, 3)], "raster_id string, x0 double, y0 double, res_x double, res_y double, width long, height long")
+    p = spark.createDataFrame([("a", 1, r, c, float(10 * r + c)) for r in range(3) for c in range(4) if (r, c) != (1, 1)], "raster_id string, band int, r long, c long, v double")
+    same = warp.warp(p, meta, meta, 4326, 4326)
+    assert rows(same.select("r", "c", "v")) == sorted((r, c, float(10 * r + c)) for r in range(3) for c in range(4) if (r, c) != (1, 1))
+    half = spark.createDataFrame([("a", 0.0, 3.0, 2.0, 1.5, 2, 2)], meta.schema)
+    near = {(x["r"], x["c"]): x["v"] for x in warp.warp(p, meta, half, 4326, 4326, method="nearest").collect()}
+    assert near == {(0, 0): 1.0, (0, 1): 3.0, (1, 0): 21.0, (1, 1): 23.0}
+    smooth = {(x["r"], x["c"]): x["v"] for x in warp.warp(p, meta, half, 4326, 4326, nodata=0).collect()}
+    # Centre (1, 2.25): rows 0 and 1 weigh 3/4 and 1/4, columns 0 and 1 the same; (1, 1) is missing, (0, 0) no data
+    assert math.isclose(smooth[(0, 0)], (1 * 0.375 + 10 * 0.125) / 0.5) and math.isclose(smooth[(0, 1)], (2.5 * 0.75 + 12.5 * 0.25))
+    assert warp.warp(p, meta, half, 4326, 4326, nodata=0, whole=True).where("r = 0 and c = 1").first()["v"] == 5.0
+    assert warp.target_grid(meta, 4326, 4326).select("x0", "y0", "width", "height").first() == (0.0, 3.0, 4, 3)
+    far = meta.withColumn("x0", F.col("x0") + 0.3)
+    assert tuple(warp.target_grid(far, 4326, 4326, 0.5, aligned=True).first())[1:] == (0.0, 3.0, 0.5, 0.5, 9, 6)
+    assert warp.target_grid(meta, 4326, 4326, 0.001, max_pixels=12).select("width", "height").first() == (4, 3)
+    utm = warp.target_grid(meta.withColumn("y0", F.lit(33.0)), 4326, 32631).first()
+    assert utm["width"] >= 3 and 80_000 < utm["res_x"] < 130_000
+    with pytest.raises(ValueError):
+        warp.warp(p, meta, half, 4326, 4326, method="cubic")
+
+
+def lzw(data):
+    """TIFF's LZW, one code early."""
+    out, bits, held = bytearray(), 0, 0
+
+    def put(code, width):
+        nonlocal bits, held
+        held, bits = held << width | code, bits + width
+        while bits >= 8:
+            bits -= 8
+            out.append(held >> bits & 255)
+            held &= (1 << bits) - 1
+
+    table, width = {bytes([i]): i for i in range(256)}, 9
+    put(256, 9)
+    at = b""
+    for i in range(len(data)):
+        x = data[i : i + 1]
+        if at + x in table:
+            at += x
+            continue
+        put(table[at], width)
+        table[at + x] = len(table) + 2
+        n = len(table) + 2
+        if n == 4094:
+            put(256, 12)
+            table, width = {bytes([i]): i for i in range(256)}, 9
+        else:
+            width = 9 if n < 512 else 10 if n < 1024 else 11 if n < 2048 else 12
+        at = x
+    if at:
+        put(table[at], width)
+        n = len(table) + 3
+        width = 9 if n < 512 else 10 if n < 1024 else 11 if n < 2048 else 12
+    put(257, width)
+    if bits:
+        out.append(held << (8 - bits) & 255)
+    return bytes(out)
+
+
+def test_lzw():
+    r = np.random.default_rng(3)
+    for data in (b"", b"a", b"aaaaaaaaaa" * 50, bytes(r.integers(0, 256, 20_000, dtype=np.uint8)), bytes(r.integers(0, 3, 50_000, dtype=np.uint8))):
+        assert tiff.unlzw(lzw(data)) == data
+
+
+def by_hand(a, *, order="<", big=False, tile=None, predictor=1, epsg=None):
+    """An LZW file of (bands, rows, columns) with bands apart, in strips of two rows or in tiles."""
+    import struct
+
+    n, h, w = a.shape
+    th, tw = tile or (2, w)
+    parts = []
+    for band in a:
+        for r in range(0, h, th):
+            for c in range(0, w, tw):
+                part = np.zeros((th if tile else min(th, h - r), tw), dtype=a.dtype)
+                cut = band[r : r + th, c : c + tw]
+                part[: cut.shape[0], : cut.shape[1]] = cut
+                if predictor == 2:
+                    part[:, 1:] = part[:, 1:] - part[:, :-1]
+                parts.append(lzw(part.astype(a.dtype.newbyteorder(order)).tobytes()))
+    word, size = ("Q", 8) if big else ("I", 4)
+    out = bytearray((b"II" if order == "<" else b"MM") + struct.pack(order + "H", 43 if big else 42) + (struct.pack(order + "HHQ", 8, 0, 0) if big else b"\0" * 4))
+    places = []
+    for p in parts:
+        places.append(len(out))
+        out += p
+    kind = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
+    tags = {256: ("H", [w]), 257: ("H", [h]), 258: ("H", [8 * a.itemsize] * n), 259: ("H", [5]), 277: ("H", [n]), 284: ("H", [2]), 317: ("H", [predictor]), 339: ("H", [kind] * n), 33550: ("d", [0.5, 0.25, 0]), 33922: ("d", [0, 0, 0, 100, 200, 0])}
+    tags |= {322: ("H", [tw]), 323: ("H", [th]), 324: (word, places), 325: (word, list(map(len, parts)))} if tile else {273: (word, places), 278: ("H", [th]), 279: (word, list(map(len, parts)))}
+    if epsg:
+        tags[34735] = ("H", [1, 1, 0, 1, 3072, 0, 1, epsg])
+    entries = b""
+    for tag, (code, values) in sorted(tags.items()):
+        data = struct.pack(order + str(len(values)) + code, *values)
+        entries += struct.pack(order + "HH" + word, tag, {"H": 3, "I": 4, "Q": 16, "d": 12}[code], len(values))
+        if len(data) <= size:
+            entries += data.ljust(size, b"\0")
+        else:
+            entries += struct.pack(order + word, len(out))
+            out += data
+    out[8 if big else 4 : 16 if big else 8] = struct.pack(order + word, len(out))
+    return bytes(out + struct.pack(order + ("Q" if big else "H"), len(tags)) + entries + b"\0" * 8)
+
+
+def test_tiffs_of_other_writers(spark, tmp_path):
+    a = np.random.default_rng(6).integers(0, 60_000, (2, 7, 9)).astype(np.uint16)
+    for i, (order, big, tile, predictor) in enumerate([("<", False, None, 1), (">", False, None, 2), ("<", True, (16, 16), 2), (">", True, (4, 4), 1)]):
+        b = by_hand(a, order=order, big=big, tile=tile, predictor=predictor, epsg=32616)
+        assert (tiff.tiff_array(b) == a).all() and tiff.tiff_header(b)["epsg"] == 32616
+        (tmp_path / f"{i}.tif").write_bytes(b)
+    meta = files.raster_meta(spark, str(tmp_path)).collect()
+    assert {(m["epsg"], m["x0"], m["res_y"]) for m in meta} == {(32616, 100.0, 0.25)}
+    want = {(b + 1, r, c): float(a[b, r, c]) for b, r, c in np.ndindex(a.shape)}
+    for window in (None, (1, 2, 5, 6)):
+        px = files.raster_pixels(spark, str(tmp_path), window).collect()
+        inside = {k: x for k, x in want.items() if not window or (1 <= k[1] < 5 and 2 <= k[2] < 6)}
+        assert len(px) == 4 * len(inside)
+        for i in range(4):
+            assert {(p["band"], p["r"], p["c"]): p["v"] for p in px if p["raster_id"].endswith(f"/{i}.tif")} == inside
+    assert [tiff.tiff_header(tiff.write_tiff(a, 0, 0, (1, 1), epsg=e))["epsg"] for e in (None, 4326, 32633)] == [None, 4326, 32633]
+
+
+def test_projections_of_maps():
+    utm = 'PROJCS["WGS_1984_UTM_Zone_16N",GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]]]]'
+    assert files.prj_epsg(utm) == 32616 and files.prj_epsg(utm.replace("16N", "5S")) == 32705
+    assert files.prj_epsg('GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]]') == 4326 and files.prj_epsg('PROJCS["WGS_1984_Web_Mercator_Auxiliary_Sphere"]') == 3857
+    assert files.prj_epsg('PROJCS["x",GEOGCS["y",AUTHORITY["EPSG","4269"]],AUTHORITY["EPSG","26916"]]') == 26916
+    assert files.prj_epsg(None) is None and files.prj_epsg('PROJCS["NAD83",GEOGCS["y",AUTHORITY["EPSG","4269"]]]') is None
+
+
+def test_raster_files(spark):
+    """A mosaic larger than a tile with overviews, and a class map with a palette."""
+    a = np.random.default_rng(7).integers(1, 256, (300, 270)).astype(np.uint8)
+    a[:20] = 0
+    px = spark.createDataFrame(pd.DataFrame({"raster_id": "m", "r": np.indices(a.shape)[0].ravel(), "c": np.indices(a.shape)[1].ravel(), "v": a.ravel().astype(int)})).where("v <> 0")
+    meta = spark.createDataFrame([("m", 5.0, 9.0, 0.5, 0.5, 270, 300), ("blank", 0.0, 0.0, 1.0, 1.0, 3, 2)], "raster_id string, x0 double, y0 double, res_x double, res_y double, width long, height long")
+    out = {x["name"]: bytes(x["content"]) for x in sinks.raster_files(px, meta, colours={1: "#FF0010"}, levels=3, epsg=32616).collect()}
+    head, tags = tiff.tiff_header(out["m"]), tiff.tiff_tags(out["m"])[1]
+    assert (tiff.tiff_array(out["m"])[0] == a).all() and head["epsg"] == 32616 and head["nodata"] == 0 and (head["x0"], head["res_x"]) == (5.0, 0.5)
+    assert tags[262] == (3,) and (tags[320][1], tags[320][257], tags[320][513]) == (65535, 0, 16 * 257)
+    assert tiff.tiff_array(out["blank"]).shape == (1, 2, 3) and not tiff.tiff_array(out["blank"]).any()
+    first = struct.unpack_from("<I", out["m"], 4)[0]
+    (n,) = struct.unpack_from("<H", out["m"], first)
+    second = struct.unpack_from("<I", out["m"], first + 2 + 12 * n)[0]
+    half = tiff.tiff_array(out["m"][:4] + struct.pack("<I", second) + out["m"][8:])[0]
+    assert (half == a[1::2, 1::2]).all()
+    labels_ = spark.createDataFrame([("x", 1, 2, 4)], "raster_id string, r long, c long, value int")
+    tiles = spark.createDataFrame([("t", "x", 0, 0, 0.0, 4.0, 1.0, 1.0), ("u", "x", 8, 8, 8.0, 4.0, 1.0, 1.0)], "name string, raster_id string, wr long, wc long, x_min double, y_max double, res_x double, res_y double")
+    got = {x["name"]: tiff.tiff_array(bytes(x["content"]))[0] for x in sinks.tile_labels(labels_, tiles, 4).collect()}
+    assert got["t"][1, 2] == 4 and got["t"].sum() == 4 and got["u"].shape == (4, 4) and not got["u"].any()
+
+
+def test_map_with_smoothing_and_the_whole_job(spark):
+    a = np.ones((12, 12), dtype=int)
+    a[3:9, 3:9] = 2
+    a[5, 5] = 0
+    a[0, 0] = 3
+    raster = grid(spark, "\n".join("".join(map(str, x)) for x in a))
+    patches = {x["substrate"]: x for x in workflow.vector_map(raster, {1: "Sand"}, pixel=(2.0, 2.0), merge_below=5.0, smooth=0.0, left=100.0, top=50.0).select("*", polygons.ring_area().alias("a")).collect()}
+    assert {k: (x["name"], x["area_m"], x["a"]) for k, x in patches.items()} == {1: ("Sand", 432.0, 432.0), 2: ("2", 144.0, 144.0)}
+    assert len(patches[1]["rings"]) == 2 and sorted(patches[1]["rings"][0]) == [[100.0, 26.0], [100.0, 50.0], [124.0, 26.0], [124.0, 50.0]]
+    p = spark.createDataFrame([("a", 1, r, c, 1 + c // 8) for r in range(16) for c in range(16)], "raster_id string, band int, r long, c long, v int")
+    meta = spark.createDataFrame([("a", 0.0, 16.0, 1.0, 1.0, 16, 16)], "raster_id string, x0 double, y0 double, res_x double, res_y double, width long, height long")
+
+    def model(b: pd.DataFrame) -> pd.Series:
+        right = [np.repeat((np.arange(4) + x >= 8)[None], 4, axis=0).astype(float) for x in b["x_min"]]
+        return pd.Series([np.concatenate([(0 * m).ravel(), (1 - m).ravel(), m.ravel()]).tolist() for m in right])
+
+    out = workflow.map_mosaics(p, meta, model, 3, (4, 4), {1: "Sand", 2: "Mud"}, window=4, stride=2, source=4326, target=4326, cell=1.0)
+    got = {x["name"]: x["area_m"] for x in out["patches"].collect()}
+    assert set(got) == {"Sand", "Mud"} and got["Sand"] == 8 * 18.0 and out["tiles"].count() > 16
+    found = spark.createDataFrame([("t1", 1, 1, 2, [0.5, 0.5]), ("t1", 1, 1, 2, [0.1, 0.9])], "base string, classes int, height int, width int, t array<double>")
+    joined = pairing.with_tensors(spark.createDataFrame([("a/t1.png",), ("b/t1.png.tif",), ("t2.png",)], "tile string"), found)
+    assert rows(joined.select("tile", "t")) == [("a/t1.png", [0.1, 0.9]), ("b/t1.png.tif", [0.1, 0.9])]
+
+
 def test_coco(spark):
     lab = regions.components(grid(spark, "1000000\n0222200\n0222200\n0222203\n0000003"))
     b = coco.boxes(lab).collect()
@@ -230,8 +471,8 @@ def test_projections(spark):
 def test_files(spark, tmp_path):
     a = np.arange(2 * 5 * 7, dtype=np.uint8).reshape(2, 5, 7)
     (tmp_path / "deep").mkdir()
-    (tmp_path / "deep" / "a.TIF").write_bytes(files.write_tiff(a, 100.0, 200.0, (0.5, 0.25), 255))
-    (tmp_path / "b.tiff").write_bytes(files.write_tiff(a[:1].astype(np.float32), 0, 0, (1, 1)))
+    (tmp_path / "deep" / "a.TIF").write_bytes(tiff.write_tiff(a, 100.0, 200.0, (0.5, 0.25), 255))
+    (tmp_path / "b.tiff").write_bytes(tiff.write_tiff(a[:1].astype(np.float32), 0, 0, (1, 1)))
     meta = {r["raster_id"].rsplit("/", 1)[-1]: r for r in files.raster_meta(spark, str(tmp_path)).collect()}
     assert (meta["a.TIF"]["width"], meta["a.TIF"]["height"], meta["a.TIF"]["n_bands"], meta["a.TIF"]["x0"], meta["a.TIF"]["res_y"], meta["a.TIF"]["nodata"]) == (7, 5, 2, 100.0, 0.25, 255.0)
     px = files.raster_pixels(spark, str(tmp_path)).where("raster_id like '%TIF'")
@@ -256,7 +497,7 @@ def test_shapefile(spark, tmp_path):
     (tmp_path / "m.shp").write_bytes(b"\0" * 100 + struct.pack(">II", 1, len(body) // 2) + body)
     head = struct.pack("<B3BIHH20x", 3, 1, 1, 1, 1, 65, 11) + b"Kind".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([10]) + b"\0" * 15 + b"\x0d"
     (tmp_path / "m.dbf").write_bytes(head + b" " + b"Sand".ljust(10))
-    got = files.vector_map(spark, str(tmp_path), "Kind").select("class_name", files.ring_area().alias("area")).first()
+    got = files.vector_map(spark, str(tmp_path), "Kind").select("class_name", polygons.ring_area().alias("area")).first()
     assert tuple(got) == ("Sand", 15.0)
 
 
@@ -308,8 +549,6 @@ def png(a, how):
 
 
 def test_strips_and_tiles(spark, tmp_path):
-    from gridloom.sources import sinks
-
     a = np.random.default_rng(1).integers(0, 256, (6, 9)).astype(np.uint8)
     for how in range(5):
         assert (files.png_grey(png(a, how)) == a).all()
@@ -320,7 +559,7 @@ def test_strips_and_tiles(spark, tmp_path):
     out = sinks.tile_images(px.select(F.lit("x").alias("raster_id"), F.lit(1).alias("band"), "r", "c", "v"), tiles, 4).first()
     want = np.zeros((4, 4), dtype=np.uint8)
     want[:3] = a[3:6, 4:8]
-    assert (files.tiff_array(bytes(out["content"]))[0] == want).all()
+    assert (tiff.tiff_array(bytes(out["content"]))[0] == want).all()
     sinks.manifest(tiles, str(tmp_path / "m"), "raster_id")
     assert spark.read.parquet(str(tmp_path / "m")).where("raster_id = 'x'").count() == 1
     sinks.stage_csv(tiles, str(tmp_path / "c"))
