@@ -6,18 +6,20 @@
    linear in the bucket, and joins a group of near copies at once.
 4. Members of buckets that still hold several components may have links that step 3 did not try. For these, exact
    prefix filtering finds every pair of different components that can reach the similarity: with all sets in one
-   order, rare shingles first, such a pair's first common shingle stands so early in both that enough can follow.
-   A text with too many shingles of its own meets nobody, so a group of near misses does not yield its pairs.
+   order, rare shingles first, such a pair's first common shingle stands so early in both that enough can follow; and
+   parities of the sets' parts, carried along, bound from below how many shingles a pair does not share. So a group of
+   near misses does not yield its pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -34,6 +36,9 @@ SIGNATURE_FLOOR = 0.62
 #: frequent than that still comes last, and what is not pairs up with no more than that many.
 SKETCH_BITS = (18, 22)
 
+#: Parities of a set, whose differences bound how many shingles two sets do not share.
+PARITIES = 512
+
 _rng = np.random.Generator(np.random.PCG64(99991))
 _A = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -71,6 +76,13 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return tk.mix64(m.sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether each of ``PARITIES`` parts of all shingles holds an odd number of these, packed into 64-bit numbers."""
+    part = tk.mix64(shingles) >> np.uint64(64 - PARITIES.bit_length() + 1)
+    odd = np.bincount(part.astype(np.int64), minlength=PARITIES).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def _signatures(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -242,18 +254,21 @@ def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
-                keep, sizes = [], []
+                keep, sizes, odd = [], [], []
                 for x in b.column(4):
                     h = np.frombuffer(x.as_buffer(), np.uint64)
+                    odd.append(parities(h))
                     h = h[np.lexsort((h, count[(h >> np.uint64(64 - bits)).astype(np.int64)]))]
                     keep.append(h[: len(h) - -(-percent * len(h) // 100) + 1])
                     sizes.append(len(keep[-1]))
                 row = np.repeat(np.arange(b.num_rows), sizes)
                 place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
                 cols = [b.column(i).take(pa.array(row)) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keep).view(np.int64)), *cols, pa.array(place)], names=["h", "node", "n", "c", "many", "i"])
+                odd = [pa.array(x[row]) for x in np.array(odd).T]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keep).view(np.int64)), *cols, pa.array(place), *odd], names=["h", "node", "n", "c", "many", "i", *odds])
 
-    post = stage(rows.mapInArrow(prefixes, "h long, node long, n long, c long, many long, i long"), "prefixes")
+    odds = [f"o{k}" for k in range(PARITIES // 64)]
+    post = stage(rows.mapInArrow(prefixes, ", ".join(["h long, node long, n long, c long, many long, i long", *(f"{o} long" for o in odds)])), "prefixes")
     # Of the components that have a shingle, the largest is not compared with itself.
     met = post.groupBy("h").agg(F.min("n").alias("least"), F.max(F.struct("many", "c")).alias("top"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("h", "least", F.col("top.c").alias("top"))
 
@@ -263,8 +278,11 @@ def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
     n, i = F.col("n"), F.col("i")
     left = post.join(met, "h").where("c <> top").where(n - i + 1 >= need(n, F.greatest(F.ceil(percent * n / 100), F.col("least"))))
-    left = left.select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("i").alias("ai"))
-    right = post.select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"), F.col("i").alias("bi"))
+    left = left.select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("i").alias("ai"), *(F.col(o).alias(f"a{o}") for o in odds))
+    right = post.select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"), F.col("i").alias("bi"), *(F.col(o).alias(f"b{o}") for o in odds))
     an, bn = F.col("an"), F.col("bn")
-    found = left.join(right, (left["h"] == right["h"]) & (F.col("ac") != F.col("bc")) & (F.least(an - F.col("ai"), bn - F.col("bi")) + 1 >= need(an, bn)))
+    # Each shingle that only one of two sets has turns one parity, so as many parities as differ, or more, are not shared.
+    apart = reduce(Column.__add__, (F.bit_count(F.col(f"a{o}").bitwiseXOR(F.col(f"b{o}"))) for o in odds))
+    possible = (F.least(an - F.col("ai"), bn - F.col("bi")) + 1 >= need(an, bn)) & (apart <= an + bn - 2 * need(an, bn))
+    found = left.join(right, (left["h"] == right["h"]) & (F.col("ac") != F.col("bc")) & possible)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
