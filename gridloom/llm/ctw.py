@@ -28,7 +28,7 @@ DEPTH = 4
 END = 0xFF
 _PAIR = 8 * (DEPTH - 1)  # bits of a gram below its last two context bytes
 #: Bytes of text that share one set of answers, about.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 28 << 20
 #: Blocks that are numbered, so that each has a partition of its own; of more, several meet in one, by a hash.
 NUMBERED, TOGETHER = 100_000, 8
 #: Bytes of text handled at once here.
