@@ -194,6 +194,16 @@ def test_near_misses_and_repeated_ids(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_null_ids(spark):
+    rows = [(None, "a b c d"), (None, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, None)]
+    got = minhash.near_duplicates(frame(spark, [(i or 0, t) for i, t in rows]).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id"))), k=2).collect()
+    assert sorted(((r["doc_id"] or 0, r["component_id"], r["kept"]) for r in got), key=str) == [(0, None, True)] * 3 + [(1, 1, True), (2, 1, False)]
+    t = " ".join(f"w{i}" for i in range(30))
+    texts = spark.createDataFrame([(None, t), (3, t), (4, t)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in substring.removal_report(texts).collect()) == [(0, 0), (3, 0), (4, 30)]
+    assert sorted((r["doc_id"] or 0, r["n_words"]) for r in substring.removal_report(texts).collect()) == [(0, 30), (3, 30), (4, 30)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 202), (202, 200)]
     got = {r["u"]: r["v"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -696,16 +706,62 @@ def test_neighbours_that_probing_misses(spark, monkeypatch):
     u = x / np.linalg.norm(x, axis=1)[:, None]
     for n in (3, 60):
         got = defaultdict(list)
-        for y in ann.nearest(df.where(F.col("vec_id") < n), F.col("vec_id") < 12).collect():
+        for y in ann.nearest(df.where(F.col("vec_id") < n), F.col("vec_id") < 12, setting=ann.Setting(6, 2.0, 8, 30, 0.3)).collect():
             got[y["query_id"]].append((y["rank"], y["vec_id"]))
         for q in range(min(n, 12)):
             want = sorted((i for i in range(n) if i != q), key=lambda i: -u[i] @ u[q])[:5]
-            if n < 60 or u[want[-1]] @ u[q] < ann.SAFE:
+            if n < 60 or u[want[-1]] @ u[q] < 0.3:
                 assert sorted(got[q]) == list(enumerate(want, 1)), (n, q)
             else:
                 assert len(got[q]) == 5
 
 
+def test_neighbours_of_one_direction(spark, monkeypatch):
+    """More candidates than bytes can tell apart: the query is compared with all vectors."""
+    monkeypatch.setattr(ann, "UNDECIDED", 70)
+    r = np.random.default_rng(16)
+    x = r.standard_normal((300, 16))
+    x[:150] = x[0] * np.arange(1, 151)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = [(y["query_id"], y["score"]) for y in ann.nearest(df, F.col("vec_id") == 0).collect()]
+    assert len(got) == 5 and all(s > 1 - 1e-12 for _, s in got)
+
+
+def test_bytes_bound_cosines():
+    r = np.random.default_rng(17)
+    u = ann._unit(r.standard_normal((200, 48)) * np.array([30.0, *[1.0] * 47]))
+    code, step, left = ann._coded(u)
+    x = code * step[:, None].astype(float)
+    assert (np.abs(u @ u.T - x @ x.T) <= left[:, None] + left[None, :] + 1e-5).all()
+
+
+def test_fit_follows_the_data():
+    r = np.random.default_rng(18)
+    loose = r.standard_normal((1500, 32))
+    tight = loose[r.integers(0, 60, 1500)] + r.standard_normal((1500, 32)) * 0.05
+    a, b = ann.fit(loose, 5), ann.fit(tight, 5)
+    assert b.functions > a.functions and -1 <= b.safe <= 0.95
+    assert ann.fit(np.zeros((0, 4)), 5).safe == 2
+
+
+def test_recall(spark):
+    """Against brute force on the vectors of the tables, at least 0.9."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], np.array(r["embedding"], dtype=float)) for r in df.collect() if r["embedding"] is not None]
+    ids, x = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    got = defaultdict(set)
+    for y in ann.nearest(df, F.col("vec_id") % 50 == 0).collect():
+        got[y["query_id"]].add(y["vec_id"])
+    hit = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        s = u @ u[q]
+        s[q] = -2
+        assert len(got[ids[q]]) == 5
+        hit += len(got[ids[q]] & set(ids[np.argsort(-s)[:5]].tolist()))
+    assert hit >= 0.9 * 5 * len(got)
+
+
 def test_probe_order():
     sets = ann.probe_sets(4, 20)
     assert sets[0] == (0,) and len(set(sets)) == 20 and all(not ({x, 7 - x} <= set(s)) for s in sets for x in s)

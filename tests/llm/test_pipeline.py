@@ -81,3 +81,44 @@ def test_mixing_cuts_a_long_boundary_document(spark):
     got = [r for r in corpus_pipeline.mixing(spark, docs, "").where("doc_id = 1").collect() if r["text"] != text]
     n = taken[1]["partial"]
     assert n > 10_000 and len(got) == 1 and len(words(got[0]["text"])) == n and text.startswith(got[0]["text"]) and got[0]["n_chars"] == len(got[0]["text"])
+
+
+AWKWARD = "doc_id long, text string, lang string, source string, n_chars long, row string, id string, words string, score string, kept string, size string"
+
+
+def awkward(spark, rows):
+    """Documents with columns that clash with names used inside."""
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), *["x"] * 6) for i, t, s in rows], AWKWARD)
+
+
+def test_stages_on_awkward_rows(spark, sf_dir):
+    long = "plain words here and there " * 4000
+    r = random.Random(7)
+    text = " ".join(r.choice(["ta", "ri", "mo", "ne", "ku", "so"]) + str(r.randint(0, 99)) for _ in range(60))
+    rows = [(None, None, None), (None, None, "a"), (1, "", "a"), (1, "", "a"), (2, text, "a"), (2, "another text altogether with nothing in common", "b"), (None, text + " end", "b"), (3, text, None), (9, long, "a"), (9, long, "a"), (5, "mail me@mail.example.com", "b")]
+    docs = awkward(spark, rows)
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    key = lambda r: tuple((x is None, x) for x in r)
+    out = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        df = stage(spark, docs, sf_dir)
+        assert df.columns == columns
+        out[name] = sorted((tuple(r)[:2] + (r["source"],) for r in df.collect()), key=key)
+        assert stage(spark, docs.where("false"), sf_dir).count() == 0
+    assert out["toxicity"] == sorted(rows, key=key)
+    once = [(None, None, None), (None, None, "a"), (1, "", "a"), (2, text, "a"), (2, "another text altogether with nothing in common", "b"), (9, long, "a"), (5, "mail me@mail.example.com", "b")]
+    assert out["near_dedup"] == sorted(once, key=key)  # 3 and the one without an id are near 2; rows alike are one
+    assert out["pii"] == sorted([(i, t.replace("me@mail.example.com", "<EMAIL>") if t else t, s) for i, t, s in rows], key=key)
+    taken = Counter()
+    for i, t, s in out["mixing"]:
+        assert (i, t, s) in rows or any(u and t and u.startswith(t) and (i, s) == (j, v) for j, u, v in rows)
+        taken[s] += len(words(t))
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += len(words(t))
+    order = ["a", "b", None]
+    want = shares([size[s] for s in order], [5, 2, 1], 1.5 * sum(size.values()), 2)
+    assert all(abs(taken[s] - t) <= 1 for s, t in zip(order, want))
+    packed = corpus_pipeline.packing(spark, docs, sf_dir)
+    assert packed.where("doc_id is null and length = 1").count() == 2 and packed.where("doc_id = 1").count() == 2
+    assert corpus_pipeline.packing(spark, docs.where("false"), sf_dir).count() == 0
