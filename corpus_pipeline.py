@@ -46,8 +46,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at weights 5, 2, 1, repeating; 150% of all words, no document more than twice: documents that the mix
-    takes twice come twice, and one at a source's boundary comes with its first words only. Texts without words are
-    taken no times. Null sources are one source; rows that repeat an id, or have none, are documents of their own. Empty
+    takes twice come twice, and one at a source's boundary comes with its first words only. Texts without words
+    come as often as every text of their source does at least. Null sources are one source; rows that repeat an id, or have none, are documents of their own. Empty
     table: no rows."""
     taken = mix(docs, cycle_weights((5, 2, 1)), share=1.5, cap=2.0, keep=COLUMNS).select("kept", "repeats", "partial").where("repeats > 0 or partial > 0")
     # Each copy's words: 0 for all of them
