@@ -13,6 +13,7 @@ gives the Nystroem features, on which a linear support vector machine is trained
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -25,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .staging import stage
+from .minhash import band_keys, shingle_sets, signature
+from .staging import drop_staged, stage
 
 SPAN, DECAY = 6, 0.5
 #: Kernel values are raised to POWER; below FLOOR (before that) they count as none.
@@ -37,6 +39,11 @@ SAMPLE = 4096
 SUPPORT = 2
 #: Stems that are weighed as landmarks, at most.
 CANDIDATES = 2_000
+#: Share of landmarks that may be there by chance: of the stems in as many texts, as many toxic ones among these are to be
+#: expected less often than that, if labels had nothing to do with them.
+CHANCE = 0.3
+#: Share of minima (of three-word shingles) in which labelled texts agree that count as one.
+ALIKE = 0.6
 _STEMS = range(4, 13)
 _KNOWN_BITS = 20
 #: Stems that a task counts before it passes them on.
@@ -168,7 +175,15 @@ class Landmarks:
 
     def _clear(self) -> None:
         self.known = tk.Known(_KNOWN_BITS)
-        self.hits = np.zeros((1, self.n), dtype=np.float32)  # words without a hit share row 0
+        self.hits = np.zeros((1024, self.n), dtype=np.float32)  # words without a hit share row 0
+        self.n_hits = 1
+
+    def _keep(self, rows: np.ndarray) -> None:
+        need = self.n_hits + len(rows)
+        if need > len(self.hits):
+            self.hits = np.concatenate([self.hits[: self.n_hits], np.zeros((2 * need - self.n_hits, self.n), dtype=np.float32)])
+        self.hits[self.n_hits : need] = rows
+        self.n_hits = need
 
     def values(self, letters: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """(words, landmarks), before sharpening; words are letters[a:b]."""
@@ -212,8 +227,8 @@ class Landmarks:
                 part = at[lo : lo + 16384]
                 v = self.values(units.letters, units.a[part], units.b[part])
                 keep = np.flatnonzero((v >= FLOOR).any(axis=1))
-                hit[lo + keep] = len(self.hits) + np.arange(len(keep))
-                self.hits = np.concatenate([self.hits, np.where(v[keep] >= FLOOR, v[keep], 0) ** POWER])
+                hit[lo + keep] = self.n_hits + np.arange(len(keep))
+                self._keep(np.where(v[keep] >= FLOOR, v[keep], 0) ** POWER)
             if len(keys) <= 1 << (_KNOWN_BITS - 1):
                 self.known.add(keys, hit)
                 number[new] = self.known.find(h[new])
@@ -314,6 +329,53 @@ def choose_landmarks(stems: list[tuple[str, int, int]], toxic: int, clean: int,
     return out
 
 
+def _tail(n: int, least: int, p: float) -> float:
+    """Probability of ``least`` or more among ``n`` that each come with probability p."""
+    k = np.arange(least, n + 1)
+    log = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in k.tolist()]
+    return float(np.exp(np.array(log) + k * math.log(p) + (n - k) * math.log1p(-p)).sum())
+
+
+def beyond_chance(stems: list[tuple[str, int, int]], number: dict[int, int], as_toxic: dict[tuple[int, int], int], rate: float, chance: float = CHANCE) -> list[tuple[str, int, int]]:
+    """Of (stem, toxic texts with it, clean texts with it) those that labels explain. ``number`` of stems by how many texts
+    have them; ``as_toxic``, how many of these are in so many toxic texts; ``rate``: the share of toxic texts."""
+    more: dict[tuple[int, int], int] = {}
+    for (d, t), m in as_toxic.items():
+        for less in range(SUPPORT, t + 1):
+            more[d, less] = more.get((d, less), 0) + m
+    return [(s, t, n) for s, t, n in stems if number[t + n] * _tail(t + n, t, rate) <= chance * more.get((t + n, t), 1)]
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        signs = [signature(s) if len(s) else None for _, s in shingle_sets(b.column(2), 3)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([None if s is None else s.tobytes() for s in signs], pa.binary())], names=["id", "y", "sign"])
+
+
+def one_of_each(texts: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
+    """Of (id, label, signature), the first of those that are alike, with the largest label among them. Texts that share a
+    band are alike if ``ALIKE`` of their minima agree with those of the first that has it."""
+    signs = [np.frombuffer(s, np.uint32) for _, _, s in texts]
+    root = list(range(len(texts)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    seen: dict[tuple[int, int], int] = {}
+    for i, sign in enumerate(signs):
+        for key in enumerate(band_keys(sign).tolist() if len(sign) else ()):
+            j = seen.setdefault(key, i)
+            a, b = find(i), find(j)
+            if a != b and (sign == signs[j]).mean() >= ALIKE:
+                root[max(a, b)] = min(a, b)
+    label: dict[int, int] = {}
+    for i, (_, y, _) in enumerate(texts):
+        label[find(i)] = max(label.get(find(i), y), y)
+    return [(texts[i][0], texts[i][1]) for i in label if texts[i][1] == label[i]] + [min((t[0], t[1]) for j, t in enumerate(texts) if find(j) == i and t[1] == y) for i, y in label.items() if texts[i][1] != y]
+
+
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of each label have a word that begins with each stem, or, in a script without blanks, holds it."""
     count: tuple[Counter, Counter] = (Counter(), Counter())
@@ -352,7 +414,7 @@ def fold_of(id_col: str, folds: int) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic", use: Column | None = None, sample: int = SAMPLE, landmarks: int = LANDMARKS, support: int = SUPPORT) -> Model:
     """Fit on at most ``sample`` texts of each label, drawn by a hash of the id among the labelled rows that ``use``
-    keeps; landmarks are stems of at least ``support`` toxic ones. An id labelled more than once counts as toxic if any label says so; null labels count as none. Without
+    keeps; near copies among them count as one text (by three-word shingles); landmarks are stems of at least ``support`` toxic ones. An id labelled more than once counts as toxic if any label says so; null labels count as none. Without
     texts of both labels the score is the same for all: 0, or 1 if all are toxic."""
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
     known = known.where(use) if use is not None else known
@@ -365,10 +427,23 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
     # At most twice ``sample`` ids.
     chosen = F.broadcast(docs.sparkSession.createDataFrame(ids, "id long, y int"))
     rows = stage(docs.select(F.col(id_col).alias("id"), text).join(chosen, "id").repartition(12, "id"), "labelled")
-    counts = rows.select(text, "y").mapInArrow(_stem_counts, "stem string, t long, n long").groupBy("stem").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
-    toxic, clean = (sum(1 for _, y in ids if (y > 0) == want) for want in (True, False))
+    # Copies of a text, exact or near, say no more than one of it.
+    alike = rows.select("id", "y", text).mapInArrow(_bands, "id long, y int, sign binary").collect()  # of the sample
+    first = one_of_each(sorted((r["id"], r["y"], bytes(r["sign"] or b"")) for r in alike))
+    rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i, y) for i, y in first], "id long, y int")), ["id", "y"]).dropDuplicates(["id"])
+    toxic, clean = (sum((y > 0) == want for _, y in first) for want in (True, False))
+    if not toxic or not clean:
+        return constant
+    counts = stage(rows.select(text, "y").mapInArrow(_stem_counts, "stem string, t long, n long").groupBy("stem").agg(F.sum("t").alias("t"), F.sum("n").alias("n")), "stems")
     strongest = counts.where(F.col("t") >= support).where(F.col("t") * clean > F.col("n") * 4 * toxic).orderBy(F.desc(F.col("t") / toxic - F.col("n") / clean), F.desc(F.length("stem")), "stem").limit(CANDIDATES)
-    marks = tuple(choose_landmarks([(r["stem"], r["t"], r["n"]) for r in strongest.collect()], toxic, clean, landmarks))
+    several = counts.groupBy((F.col("t") + F.col("n")).alias("d"), "t").agg(F.count("*").alias("m")).collect()  # a row for each pair of counts
+    number, as_toxic = Counter(), {}
+    for r in several:
+        number[r["d"]] += r["m"]
+        as_toxic[r["d"], r["t"]] = r["m"]
+    stems = beyond_chance([(r["stem"], r["t"], r["n"]) for r in strongest.collect()], number, as_toxic, toxic / (toxic + clean))
+    drop_staged(counts)
+    marks = tuple(choose_landmarks(stems, toxic, clean, landmarks))
     if not marks:
         return constant
 
