@@ -42,6 +42,21 @@ def sliding(pings: DataFrame, width: int, stride: int, value: Column) -> DataFra
     return met.groupBy("transect", "chunk", "start").agg(F.count("*").alias("pings"), F.sum("x").alias("total"))
 
 
+def window_cells(strips: DataFrame, width: int, stride: int) -> DataFrame:
+    """``(transect, chunk, start, r, c, v)``: the cells of windows over image strips ``(transect, chunk, r, c, v)``.
+
+    A chunk's strip, filled up to ``width`` columns, is followed by the next one's. Windows of ``width`` columns start
+    every ``stride`` (0 counts as 1) while they start on a column that the chunk has; cells without a value are not
+    returned and count as 0."""
+    step = max(1, stride)
+    size = strips.groupBy("transect", "chunk").agg((F.max("c") + 1).alias("size"))
+    cells = strips.select("transect", "r", "v", F.explode(F.array(F.struct("chunk", "c"), F.struct((F.col("chunk") - 1).alias("chunk"), (F.col("c") + width).alias("c")))).alias("p")).select("transect", "p.chunk", "p.c", "r", "v")
+    first, last = F.greatest(F.lit(0), F.ceil((F.col("c") - width + 1) / step)), F.least(F.floor(F.col("c") / step), F.floor((F.col("size") - 1) / step))
+    met = cells.join(size, ["transect", "chunk"]).withColumn("a", first.cast("long")).withColumn("b", last.cast("long")).where("a <= b")
+    met = met.select("transect", "chunk", "r", "c", "v", F.explode(F.sequence("a", "b")).alias("k")).withColumn("start", F.col("k") * step)
+    return met.select("transect", "chunk", "start", "r", (F.col("c") - F.col("start")).alias("c"), "v")
+
+
 def pad_trim(strips: DataFrame, size: Column, keys: tuple[str, ...], place: str, value: str) -> DataFrame:
     """Each series cut or padded with 0 to ``size`` places (a column of ``strips``, one for each series)."""
     grid = strips.groupBy(*keys).agg(F.max(size).alias("size")).where("size > 0").select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("size").cast("long") - 1)).alias(place))

@@ -530,6 +530,13 @@ def sonogram_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sonogram.sliding(v.pings(spark, sf_dir), 32, 8, F.col("ping_cnt"))
 
 
+@query("WITH st AS (SELECT transect, chunk, (event_type = 'view')::INT + 2 * (dep_bin % 2) AS r, ping % 64 AS c, ping_cnt AS v FROM v_pings WHERE ping % 5 <> 0), sz AS (SELECT transect, chunk, max(c) + 1 AS size FROM st GROUP BY ALL), ws AS (SELECT transect, chunk, unnest(range(0, size, 24)) AS start FROM sz), al AS (SELECT transect, chunk, r, c, v FROM st UNION ALL SELECT transect, chunk - 1, r, c + 64, v FROM st) SELECT ws.transect, ws.chunk, ws.start, al.r, al.c - ws.start AS c, al.v FROM ws JOIN al ON al.transect = ws.transect AND al.chunk = ws.chunk AND al.c >= ws.start AND al.c < ws.start + 64")
+def sonogram_window_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of windows over strips of four rows."""
+    st = v.pings(spark, sf_dir).where("ping % 5 <> 0").select("transect", "chunk", ((F.col("event_type") == "view").cast("int") + 2 * (F.col("dep_bin") % 2)).alias("r"), (F.col("ping") % 64).alias("c"), F.col("ping_cnt").alias("v"))
+    return sonogram.window_cells(st, 64, 24)
+
+
 _DEPTHS = "rg AS (SELECT transect, ping, chunk, ping_cnt, dep_bin * 1.5::DOUBLE AS dep_m, 0.25::DOUBLE * (1 + transect % 3) AS pix FROM v_pings), fr AS (SELECT transect, arg_min(pix, ping) AS pix FROM rg GROUP BY transect), mp AS (SELECT transect, ping_cnt AS ping_max FROM (SELECT transect, ping_cnt, row_number() OVER (PARTITION BY transect ORDER BY count(*) DESC, ping_cnt) AS n FROM rg GROUP BY transect, ping_cnt) WHERE n = 1), md AS (SELECT transect, dep_m FROM (SELECT transect, dep_m, row_number() OVER (PARTITION BY transect ORDER BY count(*) DESC, dep_m) AS n FROM rg GROUP BY transect, dep_m) WHERE n = 1), dr AS (SELECT transect, ping_max, trunc(dep_m / pix)::BIGINT + 50 AS dep_max FROM mp JOIN md USING (transect) JOIN fr USING (transect))"
 
 

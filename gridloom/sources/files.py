@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .jpeg import jpeg_array
 from .tiff import tiff_header, tiff_part, tiff_parts
 
 #: Rows of a raster that leave the reader at once, and packed bytes of its parts.
@@ -193,8 +194,19 @@ def png_grey(b: bytes) -> np.ndarray:
         elif how in (3, 4):  # each pixel needs the one before it
             line = _predicted(line.tolist(), up.tolist(), how)
         out[r] = up = line
-    px = out.astype(float)
-    return px[..., 0] if n < 3 else px[..., :3] @ np.array([0.2125, 0.7154, 0.0721])
+    return _grey(out.astype(float))
+
+
+def _grey(px: np.ndarray) -> np.ndarray:
+    return px[..., 0] if px.shape[2] < 3 else px[..., :3] @ np.array([0.2125, 0.7154, 0.0721])
+
+
+def image_grey(b: bytes) -> np.ndarray:
+    """Grey values 0 to 255 of a PNG or JPEG file."""
+    if b[:2] != b"\xff\xd8":
+        return png_grey(b)
+    a = jpeg_array(b).astype(float)
+    return a if a.ndim == 2 else _grey(a)
 
 
 def _predicted(line: list[list[int]], up: list[list[int]], how: int) -> np.ndarray:
@@ -215,16 +227,16 @@ def _predicted(line: list[list[int]], up: list[list[int]], how: int) -> np.ndarr
 
 
 def strips(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, r, c, v)`` of grey image strips (PNG) under a folder; columns run along the track."""
+    """``(path, r, c, v)`` of grey image strips (PNG, JPEG) under a folder; columns run along the track."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for path, content in zip(b["path"], b["content"]):
-                a = png_grey(content)
+                a = image_grey(content)
                 for r in range(0, len(a), ROWS):
                     row, col = np.indices(a[r : r + ROWS].shape)
                     yield pd.DataFrame({"path": path, "r": row.ravel() + r, "c": col.ravel(), "v": a[r : r + ROWS].ravel()})
 
-    return _contents(spark, root, ".png").mapInPandas(run, "path string, r long, c long, v double")
+    return _contents(spark, root, ".png", ".jpg", ".jpeg").mapInPandas(run, "path string, r long, c long, v double")
 
 
 def config(spark: SparkSession, root: str) -> DataFrame:

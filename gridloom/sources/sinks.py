@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .jpeg import jpeg_grey
 from .tiff import TILE, packed_tile, tiff_file, write_tiff
 
 
@@ -57,6 +58,21 @@ def tile_labels(labels: DataFrame, tiles: DataFrame, window: int) -> DataFrame:
     return tile_images(labels.select("raster_id", F.lit(1).alias("band"), "r", "c", F.col("value").alias("v")).union(corner.distinct()).groupBy("raster_id", "band", "r", "c").agg(F.max("v").alias("v")), tiles, window)
 
 
+def frame_images(cells: DataFrame, width: int, height: int, name: str = "img") -> DataFrame:
+    """``(transect, name, content)``: a JPEG frame for each window of :func:`sonogram.window_cells`, by its chunk and start;
+    values are cut to bytes and what lies below ``height`` is left out. Windows are bounded, so a group is one of them."""
+
+    def encode(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        p = pdf[(pdf["r"] < height) & (pdf["c"] < width)]
+        a = np.zeros((height, width), dtype=np.uint8)
+        a[p["r"], p["c"]] = p["v"].clip(0, 255)
+        return pd.DataFrame({"transect": [first["transect"]], "name": [f"{name}_{int(first['chunk']):05d}_{int(first['start']):05d}.jpg"], "content": [jpeg_grey(a)]})
+
+    kind = dict(cells.dtypes)["transect"]
+    return cells.groupBy("transect", "chunk", "start").applyInPandas(encode, f"transect {kind}, name string, content binary")
+
+
 def colour_table(colours: dict[int, str]) -> list[tuple[int, int, int, int]]:
     """(class, red, green, blue) rows of a class raster's palette."""
     return [(k, *(int(h.lstrip("#")[i : i + 2], 16) for i in (0, 2, 4))) for k, h in sorted(colours.items())]
