@@ -98,6 +98,7 @@ def _signatures(k: int):
                     bands.append(None)
                     sigs.append(None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["id", "n", "fp", "bands", "sig"])
+            tk.give_back()
 
     return run
 
@@ -117,6 +118,7 @@ def _sets(k: int):
                     sets, size = [], 0
             if sets:
                 yield _set_rows(sets)
+            tk.give_back()
 
     return run
 
@@ -136,6 +138,7 @@ def _alike(limit: int):
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= limit * (len(p) + len(q) - both))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            tk.give_back()
 
     return run
 

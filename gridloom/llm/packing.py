@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import textkit as tk
 from .staging import stage
 from .tokens import token_batches
 
@@ -167,6 +168,7 @@ def tokenise(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", voc
                 at = np.concatenate([[0], np.cumsum(length)]).astype(np.int32) * 4
                 body = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at), pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays([key.take(pa.array(row + lo)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), body], names=["id", "piece", "start", "length", "ids"])
+            tk.give_back()
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), text)
     return src.mapInArrow(run, "id long, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)

@@ -80,6 +80,7 @@ def _survey(k: int):
                     ],
                     names=["u", "id", "n_words", "sha", "anchors", "spans"],
                 )
+            tk.give_back()
 
     return run
 
@@ -110,6 +111,7 @@ def _pack(k: int):
                     rows, size = [], 0
             if rows:
                 yield batch(rows)
+            tk.give_back()
 
     return run
 

@@ -7,6 +7,7 @@ and retried tasks agree.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,16 @@ _BYTE = np.random.Generator(np.random.PCG64(20240601)).integers(1, 2**63, 256, d
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEQ = 0xD6E8FEB86659FD93 | 1
 _MASK = (1 << 64) - 1
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)  # glibc's
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def give_back() -> None:
+    """Return what a batch has freed to the system; workers live on between tasks and would hold it."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(30))

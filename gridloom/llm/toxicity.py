@@ -451,6 +451,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
         for b in batches:
             f = text_features(b.column(0), _marks(marks))
             yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(f.ravel().astype(np.float64)), len(marks)).cast(pa.list_(pa.float64())), b.column(1), b.column(2)], names=["f", "y", "id"])
+            tk.give_back()
 
     got = rows.select(text, "y", "id").mapInArrow(featured, "f array<double>, y int, id long").collect()
     got.sort(key=lambda r: (r["id"], r["f"]))
@@ -478,6 +479,7 @@ def score_texts(docs: DataFrame, model: Model, *, text: str = "text") -> DataFra
         for b in batches:
             s = model.score(text_features(b.column(at), _marks(model.landmarks)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], names=[*b.schema.names, "score"])
+            tk.give_back()
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 
