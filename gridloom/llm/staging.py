@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.state import dropped, saved
@@ -18,6 +20,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished steps now. Its cleaner does so when the driver collects garbage,
     which with a large heap may be long after; steps that shuffle whole texts call this when what they wrote is staged."""
+    gc.collect()  # writers and frames that refer to each other hold their plans
     spark.sparkContext._jvm.System.gc()
 
 
