@@ -243,7 +243,7 @@ def nearest(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vector: str
         now, ask = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = [(q, c, lo, hi) for q, mine in found.items() for c, (lo, hi) in mine.items()] + [(q, 0, None, None) for q in full]
+            rows = [(q, c, lo, hi) for q, mine in found.items() for c, (lo, hi) in trimmed(mine).items()] + [(q, 0, None, None) for q in full]
             found.clear()
             full.clear()
             if rows:
