@@ -224,9 +224,12 @@ def merged(labelled: DataFrame, min_area: float, *, pixel_area: float = 1.0, max
         def moved(df: DataFrame, name: str) -> DataFrame:
             return df.join(roots.select(F.col("comp").alias(name), F.col("root").alias("_root")), name, "left").withColumn(name, F.coalesce("_root", name)).drop("_root")
 
+        old = (where, patches, near, moves)
         where = saved(moved(where, "root"), "where")
         patches = saved(moved(patches, "comp").groupBy("comp").agg(F.sum("area").alias("area")), "patches")
         near = saved(moved(moved(near, "comp"), "nbr").where("comp <> nbr").distinct(), "near")
+        for x in old:
+            dropped(x)
     return patches.join(class_of, "comp").select("comp", "cls", "area"), where.select("comp", "root")
 
 

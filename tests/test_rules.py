@@ -416,6 +416,17 @@ def test_map_with_smoothing_and_the_whole_job(spark):
     out = workflow.map_mosaics(p, meta, model, 3, (4, 4), {1: "Sand", 2: "Mud"}, window=4, stride=2, source=4326, target=4326, cell=1.0)
     got = {x["name"]: x["area_m"] for x in out["patches"].collect()}
     assert set(got) == {"Sand", "Mud"} and got["Sand"] == 8 * 18.0 and out["tiles"].count() > 16
+    # The same in degrees near the equator, where a hundred-thousandth is about 1.11 m
+    away = meta.select("raster_id", F.lit(3.0).alias("x0"), F.lit(0.001).alias("y0"), F.lit(1e-5).alias("res_x"), F.lit(1e-5).alias("res_y"), "width", "height")
+    edge = warp.target_grid(away, 4326, 32631, 1.0, aligned=True).first()
+    assert (edge["width"], edge["res_x"]) in ((18, 1.0), (19, 1.0)) and edge["x0"] == 500000.0
+
+    def utm(b: pd.DataFrame) -> pd.Series:
+        return model(b.assign(x_min=b["x_min"] - 500000.0))
+
+    out = workflow.map_mosaics(p, away, utm, 3, (4, 4), {1: "Sand", 2: "Mud"}, window=4, stride=2, source=4326, target=32631, cell=1.0)
+    names = {x["name"] for x in out["patches"].collect()}
+    assert names == {"Sand", "Mud"} and out["tiles"].agg(F.min("x_min")).first()[0] == 500000.0
     found = spark.createDataFrame([("t1", 1, 1, 2, [0.5, 0.5]), ("t1", 1, 1, 2, [0.1, 0.9])], "base string, classes int, height int, width int, t array<double>")
     joined = pairing.with_tensors(spark.createDataFrame([("a/t1.png",), ("b/t1.png.tif",), ("t2.png",)], "tile string"), found)
     assert rows(joined.select("tile", "t")) == [("a/t1.png", [0.1, 0.9]), ("b/t1.png.tif", [0.1, 0.9])]
