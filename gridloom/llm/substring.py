@@ -214,10 +214,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
     part = (F.pmod("u", parts) * 2 + (parts > 1).cast("long")).cast("int").alias("part")
     met = runs.join(repeated, "anchor").select("u", F.struct("anchor", "span", part).alias("r"))
     # A text's own super-k-mers: as many as it has words at most.
-    wanted = met.groupBy("u").agg(F.collect_list("r").alias("runs"))
-    held = stage(src.join(wanted, "u").dropDuplicates(["u"]), "candidates")
+    wanted = stage(met.groupBy("u").agg(F.collect_list("r").alias("runs")), "wanted")
     drop_staged(survey, repeated)
     release(docs.sparkSession)
+    held = stage(src.join(wanted, "u").dropDuplicates(["u"]), "candidates")
+    drop_staged(wanted)
+    release(docs.sparkSession)
     packed = held.mapInArrow(_pack(k), "anchor long, part int, split boolean, id long, u long, start int, packed binary")
     dealt = packed.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
     places = stage(dealt.mapInArrow(_sort_bucket(k), "kind int, w1 long, w2 long, id long, u long, a int, b int"), "places")
