@@ -41,6 +41,8 @@ MEET = 0.95
 HELD, BLOCK = 20_000, 2_048
 #: Candidates of a query that one task may find undecided; a query with more is compared with all vectors.
 UNDECIDED = 256
+#: Pairs that are sent to all vectors to fetch them; more are joined by shuffle.
+BROADCAST_PAIRS = 1_000_000
 #: Vectors of one bucket part, about.
 PART_ROWS = 20_000
 #: Queries and vectors of one block of the exact comparison, about.
@@ -192,10 +194,11 @@ def nearest(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vector: str
     v = F.col(vector) if single else F.col(vector).cast("array<double>")
     fit_ = F.col(id_col).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.where(fit_).select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: x + F.lit(0.0).cast("float" if single else "double")).alias("v"), is_query.alias("q"))
-    rows = rows.withColumn("h", F.xxhash64("v"))
-    # The least ids of equal vectors: a query's own one and k others. The limit is applied before the shuffle too.
-    few = rows.withColumn("n", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("n") <= k + 1)
-    distinct = stage(few.groupBy("h", "v").agg(F.sort_array(F.collect_set("id")).alias("ids")), "vectors")
+    rows = rows.withColumn("h", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(1), "v"))
+    # The least ids of equal vectors: a query's own one and k others. The limit is applied before the shuffle too. Vectors
+    # are known by 128 bits here, which saves a second shuffle by their normalised components.
+    few = rows.withColumn("n", F.row_number().over(Window.partitionBy("h", "h2").orderBy("id"))).where(F.col("n") <= k + 1)
+    distinct = stage(few.groupBy("h", "h2").agg(F.first("v").alias("v"), F.sort_array(F.collect_set("id")).alias("ids")).drop("h2"), "vectors")
     asked = stage(rows.where("q").select("h", "id").distinct(), "queries")
     distinct = distinct.withColumn("least", F.element_at("ids", 1))
     queries = distinct.join(asked.select("h").distinct(), "h", "left_semi").select("h", "v", "least")
@@ -305,7 +308,8 @@ def nearest(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vector: str
     over = candidates.where("lo is null").select("q").distinct()
     sound = candidates.where("lo is not null").join(over, "q", "left_anti")
     bar = sound.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("lo"), "c"))).where(F.col("n") == most).select("q", F.col("lo").alias("bar"))
-    pairs = sound.join(bar, "q", "left").where(F.col("bar").isNull() | (F.col("hi") >= F.col("bar"))).select("q", "c")
+    pairs = stage(sound.join(bar, "q", "left").where(F.col("bar").isNull() | (F.col("hi") >= F.col("bar"))).select("q", "c"), "pairs")
+    few_pairs = F.broadcast if pairs.count() <= BROADCAST_PAIRS else (lambda df: df)
     own = distinct.select(F.col("h").alias("q"), F.col("v").alias("qv"))
     other = distinct.select(F.col("h").alias("c"), F.col("v").alias("cv"))
 
@@ -316,8 +320,8 @@ def nearest(vectors: DataFrame, is_query, *, id_col: str = "vec_id", vector: str
                     part = b.slice(at, BLOCK)
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(_cosines(_matrix(part.column(2)), _matrix(part.column(3))))], names=["q", "c", "score"])
 
-    found = stage(pairs.join(other, "c").join(own, "q").select("q", "c", "qv", "cv").mapInArrow(exactly, "q long, c long, score double"), "found")
-    drop_staged(candidates, sizes)
+    found = stage(other.join(few_pairs(pairs), "c").join(own.join(asked.select(F.col("h").alias("q")).distinct(), "q", "left_semi"), "q").select("q", "c", "qv", "cv").mapInArrow(exactly, "q long, c long, score double"), "found")
+    drop_staged(candidates, sizes, pairs)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The best few of each query in a block, by the vectors themselves."""
