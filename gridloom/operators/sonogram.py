@@ -21,7 +21,7 @@ def depth_range(pings: DataFrame, order: str = "ping") -> DataFrame:
 def fit_height(strips: DataFrame, ranges: DataFrame, water_column: bool = False) -> DataFrame:
     """``strips (transect, c, r, v)`` cut below the transect's range, or filled up with 0 to it."""
     size = ranges.select("transect", F.col("dep_max" if water_column else "ping_max").alias("size"))
-    return pad_trim(strips.join(F.broadcast(size), "transect"), F.col("size"), ("transect", "c"), "r", "v")  # a row for each transect
+    return pad_trim(strips.join(size, "transect"), F.col("size"), ("transect", "c"), "r", "v")
 
 
 def chunk_pairs(chunks: DataFrame) -> DataFrame:

@@ -560,7 +560,7 @@ def fit_water_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_DEPTHS}, g AS (SELECT transect, unnest(range(0, ping_max)) AS ping FROM dr) SELECT g.transect, g.ping, coalesce(p.ping_cnt, 0) AS ping_cnt FROM g LEFT JOIN v_pings p USING (transect, ping)")
 def pad_trim_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each transect cut or padded to its modal range."""
-    p = v.pings(spark, sf_dir).join(F.broadcast(_depths(spark, sf_dir)), "transect")  # a row for each transect
+    p = v.pings(spark, sf_dir).join(_depths(spark, sf_dir), "transect")
     return sonogram.pad_trim(p, F.col("ping_max"), ("transect",), "ping", "ping_cnt")
 
 
