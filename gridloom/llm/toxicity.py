@@ -42,6 +42,9 @@ CANDIDATES = 2_000
 #: Share of landmarks that may be there by chance: of the stems in as many texts, as many toxic ones among these are to be
 #: expected less often than that, if labels had nothing to do with them.
 CHANCE = 0.3
+#: Kernel value from which a stem is covered by an earlier one. Insults that go on from a common harmless word differ in
+#: their last letters only, and need landmarks of their own.
+COVERED = 0.85
 #: Share of minima (of three-word shingles) in which labelled texts agree that count as one.
 ALIKE = 0.6
 _STEMS = range(4, 13)
@@ -321,7 +324,7 @@ def choose_landmarks(stems: list[tuple[str, int, int]], toxic: int, clean: int,
     for _, _, s in ranked[:CANDIDATES]:
         f = _features(_letters(s))
         norm = _product(f, f)
-        if norm and all(_product(f, g) / min(norm, other) < 0.7 for g, other in found):
+        if norm and all(_product(f, g) / min(norm, other) < COVERED for g, other in found):
             out.append(s)
             found.append((f, norm))
             if len(out) == most:
