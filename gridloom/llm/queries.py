@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from .staging import table
 
-WS = r"[^\x20\x09-\x0D]+"
-
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 5, 2, 1, repeating; 150% of all sizes, at most 2 epochs."""

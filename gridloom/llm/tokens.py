@@ -7,7 +7,6 @@ characters than ASCII and Latin letters are encoded whole, as are texts that hol
 
 from __future__ import annotations
 
-import base64
 import json
 from collections.abc import Iterator
 
