@@ -5,6 +5,7 @@ import json
 import math
 import struct
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -214,6 +215,18 @@ def test_flood_far_and_merge_at_a_distance(spark):
     assert rows(regions.dissolve(apart, 2.0, reach=2.0).select("cls", "area")) == [(2, 5.0)]
 
 
+def test_checkpoint_folder():
+    def session(setting, context, master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: setting), sparkContext=SimpleNamespace(getCheckpointDir=lambda: context, master=master))
+
+    assert state.checkpoint_dir(session("s3://a/b/", "file:/c", "yarn")) == "s3://a/b"
+    assert state.checkpoint_dir(session(None, "file:/c", "yarn")) == "file:/c"
+    assert state.checkpoint_dir(session(None, None, "local[3]")) == state.LOCAL_DEFAULT
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            state.checkpoint_dir(session(None, None, master))
+
+
 def test_numbers(spark):
     df = spark.createDataFrame([(i * 7 % 50, str(i)) for i in range(50)], "k long, x string").repartition(7)
     assert sorted(map(tuple, state.numbered(df, "k", first=1).select("k", "n").collect())) == [(i, i + 1) for i in range(50)]
