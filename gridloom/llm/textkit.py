@@ -66,8 +66,13 @@ def text_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its row offsets (nulls: empty rows)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_string())
     _, offsets, data = column.buffers()
+    if column.null_count and len(column):  # as a rule a null takes no bytes; only else is the column copied
+        ends = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        if np.diff(ends)[np.asarray(column.is_null())].any():
+            column = column.fill_null("")
+            _, offsets, data = column.buffers()
     offs = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
     if data is None or len(data) == 0:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)

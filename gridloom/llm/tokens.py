@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ _OTHER = np.zeros(256, dtype=bool)
 _OTHER[[*range(0x1C, 0x20), *range(0xC0, 0xC3), *range(0xC4, 0x100)]] = True
 
 #: Distinct pieces that a worker keeps; the table starts anew beyond.
-KEPT = 1_500_000
-_BITS = 22
+KEPT = 500_000
+_BITS = 20
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -66,9 +67,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         spec = json.load(open(path, encoding="utf-8"))
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         special = {t["content"] for t in spec["added_tokens"]}
@@ -82,6 +82,13 @@ class Encoder:
             self.width[i] = len(piece)
         self._clear()
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself; only texts that hold a special token's string need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _clear(self) -> None:
         self.known = tk.Known(_BITS)
         self.n = 0

@@ -48,7 +48,7 @@ COVERED = 0.85
 #: Share of minima (of three-word shingles) in which labelled texts agree that count as one.
 ALIKE = 0.6
 _STEMS = range(4, 13)
-_KNOWN_BITS = 20
+_KNOWN_BITS = 19
 #: Stems that a task counts before it passes them on.
 HELD_STEMS = 100_000
 
@@ -184,7 +184,7 @@ class Landmarks:
     def _keep(self, rows: np.ndarray) -> None:
         need = self.n_hits + len(rows)
         if need > len(self.hits):
-            self.hits = np.concatenate([self.hits[: self.n_hits], np.zeros((2 * need - self.n_hits, self.n), dtype=np.float32)])
+            self.hits = np.concatenate([self.hits[: self.n_hits], np.zeros((need + need // 4 - self.n_hits, self.n), dtype=np.float32)])
         self.hits[self.n_hits : need] = rows
         self.n_hits = need
 
