@@ -85,6 +85,7 @@ def parities(shingles: np.ndarray) -> np.ndarray:
 
 def _signatures(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tk.kept_by("minhash")
         for b in batches:
             n, fp, bands, sigs = [], [], [], []
             for _, s in shingle_sets(b.column(1), k):

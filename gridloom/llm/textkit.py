@@ -24,6 +24,7 @@ _BYTE = np.random.Generator(np.random.PCG64(20240601)).integers(1, 2**63, 256, d
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEQ = 0xD6E8FEB86659FD93 | 1
 _MASK = (1 << 64) - 1
+_KEPT: dict = {}
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)  # glibc's
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -34,6 +35,15 @@ def give_back() -> None:
     _trim(0)
 
 
+def kept_by(operator: str) -> dict:
+    """What this worker keeps between tasks of one operator. What another one kept goes: workers are shared by all."""
+    if _KEPT.get("operator") != operator:
+        _KEPT.clear()
+        _KEPT.update(operator=operator, things={})
+        give_back()
+    return _KEPT["things"]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(30))
@@ -81,8 +91,11 @@ def text_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes each (a longer row stands alone)."""
-    lo, n = 0, len(offsets) - 1
+    lo, n, done = 0, len(offsets) - 1, 0
     while lo < n:
+        done += 1
+        if done % 4 == 0:
+            give_back()
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield lo, hi
         lo = hi

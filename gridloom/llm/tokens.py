@@ -76,6 +76,7 @@ class Encoder:
         chars = _byte_chars()
         ranks = {bytes(chars[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
         pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+        del spec
         self.fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.width = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for piece, i in ranks.items():
@@ -182,19 +183,18 @@ def _byte_chars() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """This worker's encoder of a file; a bare name is looked up among the public tokenizer files there."""
-    if path not in _ENCODERS:
+    kept = tk.kept_by("tokens")
+    if path not in kept:
         at = path
         if "/" not in path:
             import public_tokenizers
 
             at = public_tokenizers.path(path)
-        _ENCODERS[path] = Encoder(at)
-    return _ENCODERS[path]
+        kept[path] = Encoder(at)
+        tk.give_back()
+    return kept[path]
 
 
 def token_batches(column: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

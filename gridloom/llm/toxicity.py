@@ -265,14 +265,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
-_MARKS: dict[tuple[str, ...], Landmarks] = {}
-
-
 def _marks(strings: tuple[str, ...]) -> Landmarks:
-    if strings not in _MARKS:
-        _MARKS.clear()
-        _MARKS[strings] = Landmarks(list(strings))
-    return _MARKS[strings]
+    kept = tk.kept_by("toxicity")
+    if strings not in kept:
+        kept.clear()
+        kept[strings] = Landmarks(list(strings))
+    return kept[strings]
 
 
 def train_machine(x: np.ndarray, y: np.ndarray, *, c: float = 1.0, rounds: int = 500) -> tuple[np.ndarray, float]:
