@@ -44,21 +44,35 @@ _KEY = r"^(?=.*[A-Za-z][0-9]+[A-Za-z]|.*[0-9][A-Za-z]+[0-9])[A-Za-z0-9_+/=-]{16,
 #: First letters of a token that name what it is: some letter is no hexadecimal digit.
 _AFFIX = r"^(?=[A-Za-z]*[G-Zg-z])(?:[A-Za-z]{2,8}[_-]|[A-Za-z]{4})(?=[A-Za-z0-9_-]{8})"
 #: What a candidate must look like to be of a kind.
-_SHAPES = {"email": "@", "ip": r"^[^0-9]*[0-9]+(?:[.:,-][0-9a-f]+){2,}", "card": r"^(?:[^0-9]*[0-9]){12,19}[^0-9]*$", "phone": r"^(?:[^0-9]*[0-9]){7,15}[^0-9]*$", SECRET: ".{6}"}
-#: Characters kept of the gaps beside a match, earlier matches looked back to, and characters that give a context.
+_SHAPES = {"email": "@", "ip": r"^[^0-9]*+[0-9]++(?:[.:,-][0-9a-f]++){2}", "card": r"^(?:[^0-9]*[0-9]){12,19}[^0-9]*$", "phone": r"^(?:[^0-9]*[0-9]){7,15}[^0-9]*$", SECRET: ".{6}"}
+#: Characters kept of the gaps beside a match, earlier matches looked back to, and characters that give a context. Where
+#: these hold too few whole words, all of the gap is kept, so that words may be of any length.
 REACH, BACK, NEAR = 64, 6, 128
-#: A token longer than this is no identifier.
-LONGEST = 256
+_SPACE, _PLAIN = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D0-9]*\p{L}[^\x20\x09-\x0D0-9]*+"
+#: Two whole words after a blank, which no form joins to others as they have letters and no digit.
+_TWO_WORDS = rf"(?s){_SPACE}{_PLAIN}{_SPACE}(?:.*{_SPACE})?{_PLAIN}(?:{_SPACE}|$)"
+#: A word and a blank after it.
+_ENDED = rf"{_BLANK}{_SPACE}"
 #: Rounds over the graph; believed values that a pattern needs; share or belief from which one is trusted.
 ROUNDS, SUPPORT, BELIEVED = 3, 3, 0.8
 
 
+def _last(text: Column, size: int) -> Column:
+    """The last characters, or the whole text if these do not hold two whole words."""
+    return F.when(F.length(text) <= size, text).when(F.right(text, F.lit(size)).rlike(_TWO_WORDS), F.right(text, F.lit(size))).otherwise(text)
+
+
+def _first(text: Column) -> Column:
+    """The first characters, or the whole text if no word ends in these."""
+    return F.when(F.length(text) <= REACH, text).when(F.left(text, F.lit(REACH)).rlike(_ENDED), F.left(text, F.lit(REACH))).otherwise(text)
+
+
 def _matches(kind: str, gaps: Column, found: Column) -> Column:
     """Matches as (kind, order, characters before it since the last match, match, the last of those characters, the
     first after it), from the pieces between matches and the matches."""
 
     def row(x: Column, i: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.length(x["g"]).alias("gap"), x["m"].alias("match"), F.right(x["g"], F.lit(REACH)).alias("near"), F.left(x["a"], F.lit(REACH)).alias("after"))
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.length(x["g"]).alias("gap"), x["m"].alias("match"), _last(x["g"], REACH).alias("near"), _first(x["a"]).alias("after"))
 
     zipped = F.arrays_zip(gaps.alias("g"), found.alias("m"), F.slice(gaps, 2, F.greatest(F.size(gaps), F.lit(1))).alias("a"))
     return F.transform(F.filter(zipped, lambda x: x["m"].isNotNull()), row)
@@ -72,12 +86,12 @@ def _masked(text: Column) -> Column:
 
 def _contexts(near: Column, whole: Column, after: Column, affix: Column) -> Column:
     """Patterns around a match, from wide to narrow; ``whole`` says that ``near`` is all of the text before it."""
-    before = _masked(F.regexp_replace(near, r"[\"'(\[{<]++$", ""))
+    before = _masked(F.regexp_replace(near, r"(?<![\"'(\[{<])[\"'(\[{<]++$", ""))
     # The first word may be cut off, unless the text begins with it; so may the last one after the match.
     words = F.split(F.concat(F.when(whole, F.lit("^ ")).otherwise(F.lit("")), before), r"[\x20\x09-\x0D]++")
     left = F.filter(words, lambda x, i: (x != "") & (whole | (i > 0)))
     rest = _masked(F.regexp_replace(after, r"^[^\p{L}\p{N}\x20\x09-\x0D]++", ""))
-    right = F.get(F.filter(F.split(F.concat(rest, F.when(F.length(after) < REACH, F.lit(" $")).otherwise(F.lit(""))), r"[\x20\x09-\x0D]++"), lambda x: x != ""), F.lit(0))
+    right = F.get(F.filter(F.split(F.concat(rest, F.lit(" $")), r"[\x20\x09-\x0D]++"), lambda x: x != ""), F.lit(0))
 
     def patterns(w: Column) -> Column:
         two, one = F.array_join(F.slice(w, F.greatest(F.size(w) - 1, F.lit(1)), F.lit(2)), " "), F.coalesce(F.get(w, F.size(w) - 1), F.lit(""))
@@ -151,10 +165,10 @@ def find(docs: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_i
     n = F.length("match")
     order = Window.partitionBy("row", "kind").orderBy("i")
     back = [c for k in range(BACK, 0, -1) for c in (F.lag("near", k, "").over(order), F.lag("match", k, "").over(order))]
-    short = F.length("after") < REACH
+    short = (F.length("after") < REACH) | ~F.col("after").rlike(_ENDED)
     ahead = F.concat("after", F.when(short, F.concat(F.lead("match", 1, "").over(order), F.lead("after", 1, "").over(order))).otherwise(F.lit("")))
     placed = each.withColumn("start", F.coalesce(F.sum(F.col("gap") + n).over(before), F.lit(0)) + F.col("gap"))
-    placed = placed.withColumn("near", F.right(F.concat(*back, "near"), F.lit(NEAR))).withColumn("whole", F.length("near") == F.col("start")).withColumn("after", ahead)
+    placed = placed.withColumn("near", _last(F.concat(*back, "near"), NEAR)).withColumn("whole", F.length("near") == F.col("start")).withColumn("after", ahead)
     placed = placed.where(_valid(F.col("kind"), F.col("match"))).select("row", "kind", "match", "near", "after", "whole", "start")
     # A token without its label and the signs around it
     token = F.col("kind") == "token"
@@ -162,7 +176,7 @@ def find(docs: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_i
     core = F.regexp_extract(F.substr("match", F.length("lead") + 1), r"[\p{L}\p{N}](?s:.*)[\p{L}\p{N}]|[\p{L}\p{N}]", 0)
     placed = placed.withColumn("lead", lead).withColumn("tail", F.col("match")).withColumn("match", F.when(token, core).otherwise(F.col("match")))
     placed = placed.withColumn("tail", F.substr("tail", F.length("lead") + F.length("match") + 1)).withColumn("start", F.col("start") + F.length("lead")).withColumn("end", F.col("start") + F.length("match"))
-    placed = placed.where("end > start").where(~token | (F.length("match") <= LONGEST))
+    placed = placed.where("end > start")
     placed = placed.withColumn("near", F.concat("near", "lead")).withColumn("after", F.concat("tail", "after")).drop("lead", "tail")
     # Tokens that a span by form overlaps are no candidates: what began before has not ended, or the next begins inside.
     place = Window.partitionBy("row").orderBy("start", F.when(token, 1).otherwise(0))

@@ -494,6 +494,23 @@ def test_pii_learns_secrets(spark):
     assert [got[i]["spans"] for i in range(200, 204)] == ["secret:13:20", "secret:12:18", "secret:0:20", ""]
 
 
+def test_pii_words_of_any_length(spark):
+    """A key of any length, and contexts whose words are longer than the characters that are usually looked at."""
+    r = random.Random(17)
+    key = lambda n: "a1b" + "".join(r.choice("abcdef0123456789") for _ in range(n - 3))
+    word = lambda: "".join(r.choice("gjkmnopqrstuvwxyz") for _ in range(6))
+    long = "label" * 40
+    rows = [(i, f'{word()} token = "{key(40)}" {word()}') for i in range(10)] + [(20 + i, f"{word()} {word()} {long} {key(30)} {word()}") for i in range(10)]
+    rows += [(40 + i, f"{word()} {word()} {key(31)} {long}") for i in range(10)] + [(60 + i, f"{word()} {word()} {key(32)} {' ' * 80}closing {word()}") for i in range(10)]
+    # What it must find by one pattern alone: a long key; the long word before; the long word after; the word after many blanks
+    rows += [(100, f'my token = "{key(300)}"'), (101, f"to {long} hunter2"), (102, f"now hunter3 {long}"), (103, f"now hunter4 {' ' * 80}closing")]
+    rows += [(104, "x" + "1.2" * 20000), (105, "(" * 50000 + " 7 " + "[" * 50000 + "7")]
+    rows += [(110, f"{word()} {long}x hunter5 {long}y")]  # other words that begin alike
+    got = {x["doc_id"]: x["spans"] for x in pii.report(frame(spark, rows)).collect()}
+    assert [got[i] for i in range(100, 104)] == ["secret:12:312", "secret:204:211", "secret:4:11", "secret:4:11"]
+    assert got[110] == "" and all(got[i] == f"secret:{t.index('a1b')}:{t.index('a1b') + len(re.search('a1b[a-f0-9]+', t)[0])}" for i, t in rows if i < 100)
+
+
 def test_pii_learnt_spans_of_the_tables(spark):
     """Of the synthetic documents: every labelled key is found, and what is learnt is a labelled key (precision 1)."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
