@@ -2,13 +2,14 @@
 
 1. Texts with equal shingle sets form one class; only its least id goes on (copies are never paired).
 2. Each class has ``BANDS * ROWS`` minima of universal hashes. Classes that share a band meet in a bucket.
-3. Every member of a bucket is compared with the bucket's least member: signatures first, then full sets. That is
-   linear in the bucket, and joins a group of near copies at once.
+3. Every member of a bucket is compared with the member that has most company in its buckets, the middle of a group:
+   signatures first, then full sets. That is linear in the bucket, and joins a group of near copies at once. Members that
+   are not in that one's component then do the same among themselves, until that links nothing more.
 4. Members of buckets that still hold several components may have links that step 3 did not try. For these, exact
    prefix filtering finds every pair of different components that can reach the similarity: with all sets in one
    order, rare shingles first, such a pair's first common shingle stands so early in both that enough can follow; and
    parities of the sets' parts, carried along, bound from below how many shingles a pair does not share. So a group of
-   near misses does not yield its pairs.
+   near misses does not yield its pairs, nor does a group of near copies, most of which are of one component by then.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ SIGNATURE_FLOOR = 0.62
 #: frequent than that still comes last, and what is not pairs up with no more than that many.
 SKETCH_BITS = (18, 22)
 
+#: Times that members of buckets look for links with a member in the middle. What is linked after that is found by
+#: prefixes too, only with more pairs to look at.
+ROUNDS = 6
+
 #: Parities of a set, whose differences bound how many shingles two sets do not share.
 PARITIES = 512
 
@@ -170,34 +175,53 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     # A class is known by the hash of its set; the row with its least id brings the signature.
     reps = stage(all_rows.join(classes.select("fp", F.col("rep").alias("id")), ["fp", "id"], "left_semi").dropDuplicates(["fp"]).withColumn("node", F.xxhash64("fp")), "reps")
     banded = reps.select("node", "id", "n", F.posexplode("bands").alias("band", "b")).select("node", "id", "n", F.xxhash64("band", "b").alias("key"))
-    # Written first: a join with a table, not with an aggregate of the same key, lets Spark split a large bucket.
-    pivots = stage(banded.groupBy("key").agg(F.min(F.struct("id", "node", "n")).alias("p"), F.count("*").alias("m")).where("m > 1").select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn")), "pivots")
-    met = stage(banded.join(pivots, "key"), "buckets")
 
     def close(x: str, y: str):
         return F.greatest(x, y) * percent <= F.least(x, y) * 100
 
-    first = stage(met.where("node <> pivot").where(close("n", "pn")).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
-    likely = _likely(first, reps)
-    sets = _full_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")), reps, src, k)
-    links = _confirmed(likely, sets, percent)
-    drop_staged(sets)
-    release(docs.sparkSession)
-    drop_staged(likely)
-    comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    # Written first: a join with a table, not with an aggregate of the same key, lets Spark split a large bucket.
+    keys = stage(banded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "keys")
+    met = stage(banded.join(keys, "key"), "buckets")
+    drop_staged(keys)
+    company = stage(met.groupBy("node").agg(F.sum("m").alias("company")), "company")
+    left = stage(met.join(company, "node").select("key", "node", "id", "n", "company", F.col("node").alias("c")), "left")
+    drop_staged(company)
+    tested, links, comps, sets = [], None, None, None
+    for _ in range(ROUNDS):
+        middle = F.min(F.struct((-F.col("company")).alias("_"), "id", "node", "n", "c")).alias("p")
+        pivots = stage(left.groupBy("key").agg(middle, F.count("*").alias("m")).where("m > 1").select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.c").alias("pc")), "pivots")
+        pairs = left.join(pivots, "key").where("c <> pc").where(close("n", "pn"))
+        tested.append(stage(pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs"))
+        likely = _likely(tested[-1], reps)
+        if sets is None:  # of all that this and later steps can ask for: texts are read once
+            sets = _full_sets(likely.select(F.col("a").alias("node")).union(likely.select("b")).union(met.where("m > 2").select("node")), reps, src, k)
+            release(docs.sparkSession)
+        more = _confirmed(likely, sets, percent)
+        drop_staged(likely)
+        found = more.count()
+        if found or links is None:
+            drop_staged(comps)
+            links = more if links is None else links.union(more)
+            comps = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        before, ours = left, comps.select(F.col("u").alias("pivot"), F.col("v").alias("pc"))
+        others = pivots.select("key", "pivot").join(ours, "pivot", "left").withColumn("pc", F.coalesce("pc", "pivot")).select("key", "pc")
+        left = stage(_placed(left.drop("c"), comps).join(others, "key").where("c <> pc").drop("pc"), "left")
+        drop_staged(before, pivots)
+        if not found:
+            break
+    drop_staged(left)
     # Buckets whose members are not all joined yet
-    member = met.select("key", "node", "n").join(comps.select(F.col("u").alias("node"), F.col("v").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
+    member = _placed(met.select("key", "node", "n"), comps)
     mixed = stage(member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("key"), "mixed")
     open_ = member.join(mixed, "key", "left_semi").select("node", "n", "c").distinct()
     many = comps.groupBy("v").agg(F.count("*").alias("many")).withColumnRenamed("v", "c")
     open_ = stage(open_.join(many, "c", "left").withColumn("many", F.coalesce("many", F.lit(0))), "open")
-    drop_staged(met, pivots)
+    drop_staged(met)
     release(docs.sparkSession)
-    sets = _full_sets(open_.select("node"), reps, src, k)
     cross = _prefix_pairs(sets.join(open_, "node").select("node", "n", "c", "many", "set"), percent)
-    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _confirmed(_likely(cross.join(tested, ["a", "b"], "left_anti"), reps), sets, percent)
-    drop_staged(sets, open_, comps)
+    done = reduce(DataFrame.union, tested).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _confirmed(_likely(cross.join(done, ["a", "b"], "left_anti"), reps), sets, percent)
+    drop_staged(sets, open_, comps, mixed, *tested)
     # The links as ids; classes that hold rows of one id are one node.
     name = reps.select("node", "id")
     ends = links.union(more).join(name.select(F.col("node").alias("a"), F.col("id").alias("u")), "a").join(name.select(F.col("node").alias("b"), F.col("id").alias("v")), "b").select("u", "v")
@@ -209,6 +233,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"))
 
 
+def _placed(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` with the component ``c`` of each ``node``: a node without links is its own."""
+    return rows.join(comps.select(F.col("u").alias("node"), F.col("v").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
+
+
 def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose signatures agree well enough, as a staged table."""
     sig = reps.select("node", "sig")

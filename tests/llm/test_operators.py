@@ -194,6 +194,23 @@ def test_near_misses_and_repeated_ids(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_groups_of_copies_leave_few_pairs(spark, monkeypatch):
+    # The least ids are near misses of nearly all others, so nothing is joined by comparing with these
+    far, copies = variants(60, 3, changes=(14, 18)), variants(240, 3, changes=(1, 6))
+    rows = list(enumerate(far + copies))
+    left, found = [], minhash._prefix_pairs
+
+    def counted(*args):
+        out = found(*args)
+        left.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_prefix_pairs", counted)
+    got = minhash.near_duplicates(frame(spark, rows), k=2).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == near(rows, 2, 80)
+    assert max(left) <= 300, left
+
+
 def test_null_ids(spark):
     rows = [(None, "a b c d"), (None, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, None)]
     got = minhash.near_duplicates(frame(spark, [(i or 0, t) for i, t in rows]).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id"))), k=2).collect()
